@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,9 +79,19 @@ def date_cutoff(df: DataFrame, share: float = fixed.TRAIN_SHARE) -> DataFrame:
     )
 
 
+def random_side(
+    columns: list[str], share: float = fixed.TRAIN_SHARE, seed: int = fixed.SPLIT_SEED
+) -> Column:
+    """True for the rows of the first side of a random split.
+
+    A hash of the row decides, so a partition that is computed again falls on the same side.
+    """
+    buckets = 1_000_000
+    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(buckets)) < int(share * buckets)
+
+
 def random_split(df: DataFrame, share: float = fixed.TRAIN_SHARE, seed: int = fixed.SPLIT_SEED):
-    """Split by a hash of the row, so that a recomputed partition falls on the same side."""
-    side = F.pmod(F.xxhash64(F.lit(seed), *df.columns), F.lit(1_000_000)) < int(share * 1_000_000)
+    side = random_side(df.columns, share, seed)
     return df.filter(side), df.filter(~side)
 
 

@@ -22,10 +22,12 @@ def decode_json(
     body = F.col(value).cast("string")
     declared = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
     parsed = F.from_json(body, declared, {"columnNameOfCorruptRecord": _BAD})
+    # An unfolded list of no or one record instead of a filter: Spark moves a filter below
+    # the parser's result and would parse every message once more for it.
+    good = F.filter(F.array(parsed), lambda r: r.isNotNull() & r.getField(_BAD).isNull())
     return (
         messages.filter(F.is_valid_utf8(body) & body.rlike(r"^\s*\{"))
-        .select(*keep, parsed.alias("_record"))
-        .filter(F.col("_record").isNotNull() & F.col(f"_record.{_BAD}").isNull())
+        .select(*keep, F.explode(good).alias("_record"))
         .select(*keep, *[F.col("_record").getField(f.name).alias(f.name) for f in schema.fields])
     )
 

@@ -23,13 +23,19 @@ def payload_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     parsed = F.col(payload)
     if dict(payloads.dtypes)[payload] == "string":
         parsed = F.from_json(parsed, schemas.HOURLY_PAYLOAD)
-    hours = payloads.select(*kept, parsed["hourly"].alias("hourly")).select(
-        *kept, "hourly", F.posexplode("hourly.time").alias("position", "time")
+    # Rows are put together inside the payload and unfolded last: unfolding the times alone
+    # would carry all arrays along with every single row.
+    rows = F.transform(
+        "_hourly.time",
+        lambda time, i: F.struct(
+            time.alias("time"),
+            *[F.get(f"_hourly.{m}", i).alias(m) for m in fixed.HOURLY_METRICS],
+        ),
     )
-    return hours.select(
-        *kept,
-        "time",
-        *[F.get(f"hourly.{m}", "position").alias(m) for m in fixed.HOURLY_METRICS],
+    return (
+        payloads.select(*kept, parsed["hourly"].alias("_hourly"))
+        .select(*kept, F.explode(rows).alias("_row"))
+        .select(*kept, "_row.*")
     )
 
 

@@ -12,7 +12,7 @@ from skylag.operators import ranking
 from skylag.plans import sql_views as sv
 from skylag.plans import views
 from skylag.plans.registry import query, rounded, rounds
-from skylag.session import work_path
+from skylag.session import work_path, written
 
 FEATURE = list(fixed.FALLBACK_FEATURES)
 CALENDAR_SQL = """CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week,
@@ -93,25 +93,25 @@ def date_cutoff_filter(spark, sf):
 
 @query("time_ordered_split", f"WITH {SPLIT_SQL} SELECT date, ENTITY_NAME, ENTITY_TYPE, split FROM parts")
 def time_ordered_split(spark, sf):
-    return training.label_split(views.daily(spark, sf)).select(
+    return training.label_split(written(views.daily(spark, sf), "daily")).select(
         "date", "ENTITY_NAME", "ENTITY_TYPE", "split"
     )
 
 
 @query("row_counts", f"WITH {SPLIT_SQL} SELECT split, count(*) AS rows FROM parts GROUP BY split")
 def row_counts(spark, sf):
-    split = training.label_split(views.daily(spark, sf))
+    split = training.label_split(written(views.daily(spark, sf), "daily"))
     return split.groupBy("split").agg(F.count("*").alias("rows"))
 
 
 @query("random_split_fallback")
 def random_split_fallback(spark, sf):
     """Sizes of the two sides of a random split."""
-    train, test = training.random_split(views.table(spark, sf, "orders"))
-    sides = train.withColumn("split", F.lit("train")).unionByName(
-        test.withColumn("split", F.lit("test"))
-    )
-    return sides.groupBy("split").agg(F.count("*").alias("rows"))
+    orders = views.table(spark, sf, "orders")
+    side = training.random_side(orders.columns)
+    return orders.groupBy(
+        F.when(side, F.lit("train")).otherwise(F.lit("test")).alias("split")
+    ).agg(F.count("*").alias("rows"))
 
 
 RANK_SQL = """SELECT label, n, row_number() OVER (ORDER BY n DESC, label) - 1

@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylag import fixed, schemas
-from skylag.functions import text
+from skylag.functions import keys, text
 from skylag.operators import feeds, weather
 from skylag.plans import sql_views as sv
 from skylag.plans import views
 from skylag.plans.registry import query
-from skylag.session import work_path
+from skylag.session import work_path, written
 from skylag.sources import files, stations
+from skylag.streaming.jobs import board_lines
 
 ORDERS = T.StructType(
     [
@@ -192,7 +193,7 @@ def _event_log(spark, sf):
     return files.scan_tsv(spark, path)
 
 
-@query("tsv61_scan", f"{TSV_SQL} SELECT * REPLACE (\"Year\" AS \"Year\") FROM log")
+@query("tsv61_scan", f"{TSV_SQL} SELECT * FROM log")
 def tsv61_scan(spark, sf):
     return _event_log(spark, sf).select(*TSV_COLUMNS)
 
@@ -203,10 +204,7 @@ def tsv61_scan(spark, sf):
     AS key, SQLDATE FROM log""",
 )
 def event_key(spark, sf):
-    from skylag.functions import keys
-
-    records = files.tsv_records(views.event_log_lines(views.events(spark, sf)))
-    return records.select(keys.event_key().alias("key"), "SQLDATE")
+    return _event_log(spark, sf).select(keys.event_key().alias("key"), "SQLDATE")
 
 
 @query(
@@ -236,9 +234,7 @@ def envelope_wrap(spark, sf):
     Actor1Name AS record_name FROM log""",
 )
 def event_log_messages(spark, sf):
-    messages = feeds.event_log_messages(
-        files.tsv_records(views.event_log_lines(views.events(spark, sf)))
-    )
+    messages = feeds.event_log_messages(_event_log(spark, sf))
     return messages.select(
         "key", "topic",
         F.get_json_object("value", "$.source").alias("source"),
@@ -357,9 +353,8 @@ def metar_event_project(spark, sf):
     FROM board""",
 )
 def topic_route(spark, sf):
-    from skylag.streaming.jobs import board_lines
-
-    messages = feeds.board_messages(feeds.board_rows(views.boards(spark, sf)), "airport")
+    rows = feeds.board_rows(views.boards(spark, sf))
+    messages = written(feeds.board_messages(rows, "airport"), "board-messages")
     return board_lines(messages, keep=("topic", "key"))
 
 

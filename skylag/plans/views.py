@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from skylag import fixed
 from skylag.functions import measures
 from skylag.operators import delays, features, weather
+from skylag.session import written
 
 # Substring rules over the nation names. "_12" comes after "_1", which is part of it.
 NATION_RULES = (
@@ -125,7 +126,8 @@ def region_days(spark, sf_dir):
 
 
 def feature_rows(spark, sf_dir, **options) -> DataFrame:
-    days = station_days(spark, sf_dir)
+    """Features. Station days serve both joins, so they are written once, as the batch job does."""
+    days = written(station_days(spark, sf_dir), "station-days")
     return features.build_features(
         daily(spark, sf_dir), days, weather.region_day(days), NATION_RULES, **options
     )
