@@ -51,12 +51,16 @@ def first_non_empty(*candidates, default: str) -> Column:
     return F.coalesce(*[non_empty(c) for c in candidates], F.lit(default))
 
 
+# fixed values: fields that may name a flight, in order
+FLIGHT_KEY_FIELDS = (
+    "flight_iata", "flight_icao", "flight_number", "dep_iata", "departure_iata", "arr_iata",
+    "arrival_iata",
+)
+
+
 def flight_key(default: str = fixed.FEED_UNKNOWN_KEY) -> Column:
     """Message key of a delayed flight."""
-    return first_non_empty(
-        "flight_iata", "flight_icao", "flight_number", "dep_iata", "departure_iata",
-        "arr_iata", "arrival_iata", default=default,
-    )
+    return first_non_empty(*FLIGHT_KEY_FIELDS, default=default)
 
 
 def event_key(default: str = "unknown") -> Column:

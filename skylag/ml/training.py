@@ -66,6 +66,8 @@ def date_cutoff(df: DataFrame, share: float = fixed.TRAIN_SHARE) -> DataFrame:
 
     Dates are made distinct in parallel first; the window runs over one row per calendar day.
     """
+    if not isinstance(df.schema[fixed.DATE].dataType, T.DateType):
+        raise TypeError(f"{fixed.DATE} must be a date")
     days = df.select(fixed.DATE).filter(F.col(fixed.DATE).isNotNull()).distinct()
     numbered = days.select(
         fixed.DATE,

@@ -117,6 +117,27 @@ def provenance(
     }
 
 
+def with_fields(record: Column, fields: dict[str, Column]) -> Column:
+    """JSON text of a variant record with fields added; an added one replaces its namesake."""
+    known = F.try_variant_get(record, "$", "map<string,variant>")
+    kept = F.map_filter(known, lambda name, _: ~name.isin(*fields))
+    added = [x for name, value in fields.items() for x in (F.lit(name), value.cast("variant"))]
+    return F.to_json(F.map_concat(kept, F.create_map(*added)), {"ignoreNullFields": "false"})
+
+
+def delay_messages(
+    payloads: DataFrame, payload: str = "payload", topic: str = "delays", **origin
+) -> DataFrame:
+    """Feed payloads as messages: each record whole, with its provenance, under its flight key."""
+    record = F.col("record")
+    candidates = [F.try_variant_get(record, f"$.{n}", "string") for n in keys.FLIGHT_KEY_FIELDS]
+    return feed_records(payloads.select(payload), payload).select(
+        keys.first_non_empty(*candidates, default=fixed.FEED_UNKNOWN_KEY).alias("key"),
+        with_fields(record, provenance(**origin)).alias("value"),
+        F.lit(topic).alias("topic"),
+    )
+
+
 def delayed_at_least(df: DataFrame, minutes: int, kind: str, delay: str, kind_column: str):
     """Records of one kind (departures or arrivals) whose delay reaches the threshold."""
     return df.filter((F.col(delay) >= minutes) & (F.col(kind_column) == kind))
@@ -148,6 +169,16 @@ def metar_events(raw: DataFrame, ingested_at: Column | str | None = None) -> Dat
     )
 
 
+def weather_messages(events: DataFrame, topic: str = "weather") -> DataFrame:
+    """METAR events as messages under station and observation time."""
+    return json_messages(
+        events,
+        keys.dedup_key("station_id", "observation_time"),
+        topic,
+        schemas.METAR_EVENT.fieldNames(),
+    )
+
+
 def metar_typed(events: DataFrame, *keep: str) -> DataFrame:
     """Events with the typed columns that joins and windows need, and the columns in `keep`.
 

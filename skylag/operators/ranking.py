@@ -39,9 +39,18 @@ def label_index(df: DataFrame, column: str, output: str = "label_index") -> Data
     return global_rank(counts, [F.desc("n"), F.asc(column)], output)
 
 
+# up to here the rows of a limit may meet in one task
+SMALL_LIMIT = 100_000
+
+
 def limit_records(df: DataFrame, max_records: int, *order) -> DataFrame:
-    """The first `max_records` rows in `order`; 0 keeps all."""
-    return df.orderBy(*order).limit(max_records) if max_records else df
+    """The first `max_records` rows in `order`, which must have no ties; 0 keeps all."""
+    if not max_records:
+        return df
+    if max_records <= SMALL_LIMIT:
+        return df.orderBy(*order).limit(max_records)
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    return global_rank(df, columns, "_rank").filter(F.col("_rank") < max_records).drop("_rank")
 
 
 def sample_rows(df: DataFrame, *order, n: int = 20) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylag import fixed, schemas
+from skylag.functions import text
 from skylag.operators import feeds, weather
 from skylag.plans import sql_views as sv
 from skylag.plans import views
@@ -155,7 +156,7 @@ def stream_dedup(spark, sf):
     repeated = observed.filter(F.col("ts").isNotNull()).withColumn(
         "poll", F.explode(F.sequence(F.lit(1), F.lit(3)))
     )
-    kept = runs.run_bounded(jobs.drop_repeats(repeated, "station", "ts").select("station", "ts"))
+    kept = runs.run_bounded(jobs.drop_repeats(repeated, "station", "ts", salts=4).select("station", "ts"))
     return kept.select("station", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
@@ -180,7 +181,7 @@ def stream_static_weather_join(spark, sf):
     static = weather.station_hour(hours.withColumn("time", F.col("time") + shift))
     raw = views.metar(event_stream(spark, sf))
     observed = feeds.metar_typed(feeds.metar_events(raw, ingested_at="now"), "raw_text")
-    joined = jobs.join_hourly_weather(observed, static)
+    joined = jobs.join_hourly_weather(observed, static, salts=4)
     return runs.run_bounded(
         joined.select(
             "raw_text", "temp_c", "hour_temperature", "hour_precipitation", "hour_wind_gusts"
@@ -226,3 +227,38 @@ def hourly_agg_batch(spark, sf):
     )
     hours = jobs.hourly_statistics(observed.filter(F.col("ts").isNotNull()))
     return hours.withColumn("hour_start", F.col("hour_start").cast("timestamp_ntz"))
+
+
+@query(
+    "weather_messages",
+    f"""WITH {sv.METAR}
+    SELECT coalesce(station_id, 'None') || '|' || observation_time AS key, 'weather' AS topic,
+           station_id, observation_hour, raw_text AS full_raw_text,
+           '[' || coalesce(station_id, 'None') || '] ' || observation_time || ' ' || temp_c
+             || 'C ' || flight_category AS line
+    FROM metar""",
+)
+def weather_messages(spark, sf):
+    """Observations to messages and back, as a producer and a consumer do it."""
+    events = feeds.metar_events(views.metar(event_stream(spark, sf)), ingested_at="now")
+    messages = runs.run_bounded(feeds.weather_messages(events))
+    decoded = feeds.decode_json(messages, schemas.METAR_EVENT, keep=("key", "topic"))
+    return decoded.select(
+        "key", "topic", "station_id", "observation_hour",
+        F.col("full_record")["raw_text"].alias("full_raw_text"), text.metar_line().alias("line"),
+    )
+
+
+@query(
+    "delay_messages",
+    f"""WITH {sv.FEED}
+    SELECT coalesce(nullif(flight_iata, ''), flight_icao, flight_number, 'none') AS key,
+           'delays' AS topic, flight_iata, delay, 'airlabs' AS _source, '7' AS _fetched_at
+    FROM feed, range(CASE event_type WHEN 'error' THEN 0 WHEN 'signup' THEN 2 ELSE 1 END)""",
+)
+def delay_messages(spark, sf):
+    """Feed payloads to messages with provenance and back."""
+    payloads = views.feed_payloads(event_stream(spark, sf))
+    messages = runs.run_bounded(feeds.delay_messages(payloads, fetched_at=F.lit(7)))
+    decoded = feeds.decode_json(messages, schemas.FEED_RECORD, keep=("key", "topic"))
+    return decoded.select("key", "topic", "flight_iata", "delay", "_source", "_fetched_at")

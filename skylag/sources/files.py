@@ -41,7 +41,8 @@ def scan_csv(
     header = spark.read.options(**CSV_OPTIONS).csv(path).columns
     declared = {f.name: f for f in schema.fields}
     in_file = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in header])
-    rows = reader.option("emptyValue", _EMPTY).schema(in_file).csv(path)
+    # every file of the path must have this header, or the read fails instead of mixing columns
+    rows = reader.options(emptyValue=_EMPTY, enforceSchema=False).schema(in_file).csv(path)
 
     def column(field: T.StructField) -> Column:
         if field.name not in header:
