@@ -162,10 +162,12 @@ def build_pipeline(
     return Pipeline(stages=stages)
 
 
-def columns_with_values(df: DataFrame, columns: list[str]) -> list[str]:
-    """Columns with at least one value: imputing a column without any is an error."""
-    counts = df.agg(*[F.count(c).alias(c) for c in columns]).first()
-    return [c for c in columns if counts[c] > 0]
+def value_counts(df: DataFrame, columns: list[str]) -> tuple[int, dict[str, int]]:
+    """Number of rows, and of values per column, in one pass."""
+    counts = df.agg(
+        F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]
+    ).first().asDict()
+    return counts.pop("_rows"), counts
 
 
 # --- metrics ---------------------------------------------------------------------------
@@ -210,15 +212,17 @@ def train_and_score(
     """
     data = written(training_frame(features, label), "training")
     train, test = split_by_date(data)
-    columns = columns_with_values(train, feature_columns(data.columns, label))
+    train_rows, filled = value_counts(train, feature_columns(data.columns, label))
+    # imputing a column without any value is an error, so such columns stay out
+    columns = [c for c, n in filled.items() if n > 0]
     model = build_pipeline(data, columns, label, encode, **regression).fit(train)
     predictions = model.transform(test)
     measured = regression_metrics(predictions, label).first().asDict()
-    return Trained(
-        model, columns, predictions,
-        {k: float("nan") if measured[k] is None else measured[k] for k in ("rmse", "mae", "r2")},
-        train.count(), measured["rows"],
-    )
+    metrics = {
+        name: math.nan if measured[name] is None else measured[name]
+        for name in ("rmse", "mae", "r2")
+    }
+    return Trained(model, columns, predictions, metrics, train_rows, measured["rows"])
 
 
 def save_model(model: PipelineModel, path: str) -> None:
