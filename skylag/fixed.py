@@ -179,21 +179,20 @@ HAS_MORE_PATHS = (
 )
 
 # --- fixed values: event log, 61 tab-separated columns ---------------------------
-_ACTOR_FIELDS = (
-    "Code", "Name", "CountryCode", "KnownGroupCode", "EthnicCode", "Religion1Code",
-    "Religion2Code", "Type1Code", "Type2Code", "Type3Code",
-)
-_GEO_FIELDS = (
-    "Type", "FullName", "CountryCode", "ADM1Code", "ADM2Code", "Lat", "Long", "FeatureID",
-)
 EVENT_LOG_FIELDS = (
-    "GLOBALEVENTID", "SQLDATE", "MonthYear", "Year", "FractionDate",
-    *(f"Actor1{f}" for f in _ACTOR_FIELDS),
-    *(f"Actor2{f}" for f in _ACTOR_FIELDS),
-    "IsRootEvent", "EventCode", "EventBaseCode", "EventRootCode", "QuadClass",
-    "GoldsteinScale", "NumMentions", "NumSources", "NumArticles", "AvgTone",
-    *(f"{who}Geo_{f}" for who in ("Actor1", "Actor2", "Action") for f in _GEO_FIELDS),
-    "DATEADDED", "SOURCEURL",
+    "GLOBALEVENTID", "SQLDATE", "MonthYear", "Year", "FractionDate", "Actor1Code", "Actor1Name",
+    "Actor1CountryCode", "Actor1KnownGroupCode", "Actor1EthnicCode", "Actor1Religion1Code",
+    "Actor1Religion2Code", "Actor1Type1Code", "Actor1Type2Code", "Actor1Type3Code", "Actor2Code",
+    "Actor2Name", "Actor2CountryCode", "Actor2KnownGroupCode", "Actor2EthnicCode",
+    "Actor2Religion1Code", "Actor2Religion2Code", "Actor2Type1Code", "Actor2Type2Code",
+    "Actor2Type3Code", "IsRootEvent", "EventCode", "EventBaseCode", "EventRootCode", "QuadClass",
+    "GoldsteinScale", "NumMentions", "NumSources", "NumArticles", "AvgTone", "Actor1Geo_Type",
+    "Actor1Geo_FullName", "Actor1Geo_CountryCode", "Actor1Geo_ADM1Code", "Actor1Geo_ADM2Code",
+    "Actor1Geo_Lat", "Actor1Geo_Long", "Actor1Geo_FeatureID", "Actor2Geo_Type",
+    "Actor2Geo_FullName", "Actor2Geo_CountryCode", "Actor2Geo_ADM1Code", "Actor2Geo_ADM2Code",
+    "Actor2Geo_Lat", "Actor2Geo_Long", "Actor2Geo_FeatureID", "ActionGeo_Type",
+    "ActionGeo_FullName", "ActionGeo_CountryCode", "ActionGeo_ADM1Code", "ActionGeo_ADM2Code",
+    "ActionGeo_Lat", "ActionGeo_Long", "ActionGeo_FeatureID", "DATEADDED", "SOURCEURL",
 )
 EVENT_LOG_SOURCE = "gdelt"
 EVENT_LOG_FORMAT = "gdelt_events"

@@ -27,14 +27,16 @@ def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out.rstrip('/')}/{name}")
 
 
-def _save(df: DataFrame, out: str, name: str) -> DataFrame:
-    files.replace_parquet(df, f"{out.rstrip('/')}/{name}")
+def _save(df: DataFrame, out: str, name: str, order: tuple[str, ...] = ()) -> DataFrame:
+    """Replace a table and read it back. Rows are ordered inside each file only, which needs no
+    shuffle and lets a later filter on the first column skip parts of files."""
+    files.replace_parquet(df.sortWithinPartitions(*order) if order else df, f"{out.rstrip('/')}/{name}")
     return _table(df.sparkSession, out, name)
 
 
 def delay_tables(facts: DataFrame, out: str) -> dict[str, DataFrame]:
     """Day, month and entity delays. The facts are read once: the other two come from the days."""
-    daily = _save(delays.daily(delays.prepare_facts(facts)), out, DAILY)
+    daily = _save(delays.daily(delays.prepare_facts(facts)), out, DAILY, ("date",))
     return {
         DAILY: daily,
         MONTHLY: _save(delays.monthly_from_daily(daily), out, MONTHLY),
@@ -45,7 +47,7 @@ def delay_tables(facts: DataFrame, out: str) -> dict[str, DataFrame]:
 def weather_tables(hourly: DataFrame, out: str) -> dict[str, DataFrame]:
     """Keyed hours, station days and region days. Raw text is parsed once."""
     keyed = _save(weather.hourly_keyed(hourly), out, HOURLY)
-    station_days = _save(weather.station_day(keyed), out, STATION_DAY)
+    station_days = _save(weather.station_day(keyed), out, STATION_DAY, ("date",))
     return {
         HOURLY: keyed,
         STATION_DAY: station_days,
@@ -58,7 +60,7 @@ def feature_table(spark: SparkSession, out: str, rules=fixed.STATION_RULES, **op
     built = features.build_features(
         _table(spark, out, DAILY), station_days, _table(spark, out, REGION_DAY), rules, **options
     )
-    return _save(built, out, FEATURES)
+    return _save(built, out, FEATURES, ("date",))
 
 
 def model(spark: SparkSession, out: str, **options) -> training.Trained:

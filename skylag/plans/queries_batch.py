@@ -567,6 +567,7 @@ def delay_minutes_pick(spark, sf):
     """,
 )
 def lenient_bool(spark, sf):
+    """Every event carries one of ten payload forms."""
     variants = [
         '{"has_more": true}', '{"has_more": 0}', '{"request": {"has_more": 2.5}}',
         '{"has_more": "maybe", "request": {"has_more": " No "}}', '{"response": {"has_more": "Y"}}',

@@ -211,7 +211,7 @@ def _json(column):
 
 def feed_messages(events_view: DataFrame) -> DataFrame:
     """One message per event: JSON bytes by topic, some of them cut off and undecodable."""
-    feed = flights_feed(events_view.filter("event_type IS NOT NULL"))
+    feed = flights_feed(events_view)
     body = _json(
         F.struct(
             "event_id", *FEED_FIELDS,
@@ -226,7 +226,8 @@ def feed_messages(events_view: DataFrame) -> DataFrame:
         .when(F.col("delay") == "x", F.lit("EDDF"))
         .otherwise(F.lit("other"))
     )
-    # the error records (topic EPWA) without an arrival airport lose the end of their text
+    # the error records (topic EPWA) without an arrival airport lose the end of their text, so
+    # that the decoder has undecodable messages to drop
     cut = (topic == "EPWA") & F.col("arrival_iata").isNull()
     text = F.when(cut, F.substring(body, 1, 25)).otherwise(body)
     return feed.select(

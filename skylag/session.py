@@ -23,6 +23,10 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # keys of a stream are kept on disk, not in the executors' heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
