@@ -9,26 +9,27 @@ from pyspark.sql import types as T
 from skylag import fixed, schemas
 from skylag.functions import dates, keys
 
-_BAD = "_corrupt_record"
-
-
 # --- messages -------------------------------------------------------------------------
 
 
 def decode_json(
     messages: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """JSON bytes or text to columns. What is not UTF-8 or not a JSON object is dropped."""
+    """JSON bytes or text to columns. What is not UTF-8 or not one JSON object is dropped.
+
+    A field of another type than declared is null and does not drop the message.
+    """
     body = F.col(value).cast("string")
-    declared = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    parsed = F.from_json(body, declared, {"columnNameOfCorruptRecord": _BAD})
-    # An unfolded list of no or one record instead of a filter: Spark moves a filter below
-    # the parser's result and would parse every message once more for it.
-    good = F.filter(F.array(parsed), lambda r: r.isNotNull() & r.getField(_BAD).isNull())
+    # Parsed as a list of one, because the parser ignores text after a complete object.
+    listed = F.concat(F.lit("["), body, F.lit("]"))
+    parsed = F.from_json(listed, T.ArrayType(schema), {"allowSingleQuotes": "false"})
+    # An unfolded list instead of a filter on the parser's result: Spark moves such a filter
+    # below the result and would parse every message once more for it.
+    single = F.flatten(F.filter(F.array(parsed), lambda records: F.size(records) == 1))
     return (
-        messages.filter(F.is_valid_utf8(body) & body.rlike(r"^\s*\{"))
-        .select(*keep, F.explode(good).alias("_record"))
-        .select(*keep, *[F.col("_record").getField(f.name).alias(f.name) for f in schema.fields])
+        messages.filter(F.is_valid_utf8(body) & body.rlike(r"(?s)^\s*\{.*\}\s*$"))
+        .select(*keep, F.explode(single).alias("_record"))
+        .select(*keep, "_record.*")
     )
 
 
