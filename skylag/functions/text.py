@@ -36,6 +36,26 @@ def station_list(value, default=fixed.DEFAULT_METAR_STATIONS) -> Column:
     return F.when(F.size(codes) > 0, codes).otherwise(fallback)
 
 
+def cells(line: Column, separator: str = "\t") -> Column:
+    """Cells of a line. A cell may be quoted, with separators and doubled quotes inside."""
+    # one cell after its separator: a quoted one with what follows the quote, or a plain one
+    plain = f"[^{separator}]*"
+    cell = f'{separator}("[^"]*+(?:""[^"]*+)*+"{plain}|{plain})'
+    quoted = f'^"([^"]*+(?:""[^"]*+)*+)"({plain})$'
+
+    def unquoted(found: Column) -> Column:
+        inside = F.regexp_extract(found, quoted, 1)
+        after = F.regexp_extract(found, quoted, 2)
+        return F.when(
+            found.rlike(quoted), F.concat(F.replace(inside, F.lit('""'), F.lit('"')), after)
+        ).otherwise(found)
+
+    all_found = F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(cell), 1)
+    return F.when(line.contains('"'), F.transform(all_found, unquoted)).otherwise(
+        F.split(line, separator)
+    )
+
+
 def lenient_bool_text(value) -> Column:
     """true/1/yes/y and false/0/no/n in any case and padding; other text is null."""
     word = F.lower(F.btrim(_col(value), F.lit(BLANKS + LINE_ENDS)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylag import fixed, schemas
-from skylag.functions import dates, keys
+from skylag.functions import dates, keys, text
 
 # --- messages -------------------------------------------------------------------------
 
@@ -147,13 +147,56 @@ def delayed_at_least(df: DataFrame, minutes: int, kind: str, delay: str, kind_co
 # --- METAR observations -------------------------------------------------------------------
 
 
+def csv_documents(documents: DataFrame, value: str = "value") -> DataFrame:
+    """Small CSV documents, each with its own header, to one row per line.
+
+    The new column `record` maps column names to texts. Columns may come in any order; of two
+    with one name the last counts; a short line has nulls; an empty document has no rows.
+    """
+    kept = [c for c in documents.columns if c != value]
+    body = F.btrim(F.col(value), F.lit(text.BLANKS + text.LINE_ENDS))
+    lines = F.split(body, f"\r\n|[{text.LINE_ENDS}]")
+    parts = documents.select(
+        *kept,
+        text.cells(F.get(lines, F.lit(0)), ",").alias("_names"),
+        F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))).alias("_lines"),
+    )
+    rows = parts.select(*kept, "_names", F.explode("_lines").alias("_line")).filter(
+        F.length("_line") > 0
+    )
+    split = rows.select(*kept, "_names", text.cells(F.col("_line"), ",").alias("_cells"))
+    last = F.reverse("_names")
+    names = F.array_distinct("_names")
+    texts = F.transform(
+        names,
+        lambda n: F.get("_cells", (F.size("_names") - F.array_position(last, n)).cast("int")),
+    )
+    return split.select(*kept, F.map_from_arrays(names, texts).alias("record"))
+
+
+def metar_records(documents: DataFrame, value: str = "value") -> DataFrame:
+    """METAR documents to raw records, with the untouched record as a map."""
+    rows = csv_documents(documents, value)
+    record = F.col("record")
+    return rows.select(
+        *[record[name].alias(name) for name in schemas.METAR_RAW.fieldNames()],
+        record.alias("full_record"),
+    )
+
+
 def metar_events(raw: DataFrame, ingested_at: Column | str | None = None) -> DataFrame:
-    """Raw METAR texts to events: 21 fields, the full record, and the join key."""
+    """Raw METAR texts to events: 21 fields, the full record, and the join key.
+
+    The full record is the column of that name, or else all columns of `raw`.
+    """
     if ingested_at is None:
         ingested_at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     elif isinstance(ingested_at, str):
         ingested_at = F.lit(ingested_at)
-    full = F.create_map(*[x for c in raw.columns for x in (F.lit(c), F.col(c).cast("string"))])
+    if "full_record" in raw.columns:
+        full = F.col("full_record")
+    else:
+        full = F.create_map(*[x for c in raw.columns for x in (F.lit(c), F.col(c).cast("string"))])
     day = dates.iso_date("observation_time").cast("string")
     hour = dates.iso_hour("observation_time")
     return raw.select(
@@ -164,7 +207,10 @@ def metar_events(raw: DataFrame, ingested_at: Column | str | None = None) -> Dat
         "observation_time",
         day.alias("observation_date"),
         hour.alias("observation_hour"),
-        *fixed.METAR_FIELDS,
+        *[
+            F.col(name) if name in raw.columns else F.lit(None).cast("string").alias(name)
+            for name in fixed.METAR_FIELDS
+        ],
         full.alias("full_record"),
         keys.metar_join_key("station_id", day, hour).alias("feature_join_key"),
     )

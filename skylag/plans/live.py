@@ -31,8 +31,8 @@ WEATHER, DELAYS = "weather", "delays"
 
 def weather_out(spark: SparkSession, folder: str) -> DataFrame:
     """METAR CSV files to messages, an observation that polls repeat only once."""
-    raw = spark.readStream.options(**files.CSV_OPTIONS).schema(schemas.METAR_RAW).csv(folder)
-    events = feeds.metar_events(raw)
+    documents = spark.readStream.text(folder, wholetext=True)
+    events = feeds.metar_events(feeds.metar_records(documents))
     # Keys expire by arrival time: a poll repeats an observation within the look-back, and no
     # observation is late, however old its own time is or whether it can be read at all.
     arrived = events.withColumn("_arrived", F.current_timestamp())

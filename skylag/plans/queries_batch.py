@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skylag import fixed
 from skylag.functions import dates, keys, measures, rules, text
-from skylag.operators import checks, delays, features, feeds, ranking, weather
+from skylag.operators import checks, delays, features, ranking, weather
 from skylag.plans import sql_views as sv
 from skylag.plans import views
 from skylag.plans.registry import query, rounded, rounds

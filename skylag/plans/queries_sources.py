@@ -166,6 +166,27 @@ def metar_csv_decode(spark, sf):
     )
 
 
+@query(
+    "metar_csv_documents",
+    f"""WITH {sv.EVENTS}
+    SELECT CASE WHEN event_type = 'view' THEN 'VI,"EW' ELSE event_type END AS station_id,
+           strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS observation_time, CAST(k AS VARCHAR) AS temp_c,
+           CAST(event_id AS VARCHAR) AS raw_text, CAST(NULL AS VARCHAR) AS wind_gust_kt,
+           'last' AS sky
+    FROM ev WHERE event_type <> 'error'
+    UNION ALL
+    SELECT CAST(event_id AS VARCHAR), NULL, CAST(k AS VARCHAR), NULL, NULL, NULL
+    FROM ev WHERE event_type <> 'error'""",
+)
+def metar_csv_documents(spark, sf):
+    """Documents with a header each, as polls return them."""
+    records = feeds.metar_records(views.metar_documents(views.events(spark, sf)))
+    return records.select(
+        "station_id", "observation_time", "temp_c", "raw_text", "wind_gust_kt",
+        F.col("full_record")["sky"].alias("sky"),
+    )
+
+
 TSV_SQL = f"""WITH {sv.EVENTS},
 log AS (
   SELECT CASE WHEN event_type = 'click' THEN '' ELSE CAST(event_id AS VARCHAR) END

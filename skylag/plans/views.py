@@ -165,6 +165,20 @@ def metar(events_view: DataFrame) -> DataFrame:
     )
 
 
+def metar_documents(events_view: DataFrame) -> DataFrame:
+    """One CSV document per event, columns in an order of its own: two lines and a short one."""
+    kind, k = F.col("event_type"), F.col("k").cast("string")
+    station = F.when(kind == "view", F.lit('"VI,""EW"')).otherwise(kind)
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    event = F.col("event_id").cast("string")
+    header = F.lit("temp_c,sky,station_id,observation_time,sky,raw_text")
+    line = F.concat_ws(",", k, F.lit("first"), station, time, F.lit("last"), event)
+    body = F.concat_ws("\n", header, line, F.lit(""), F.concat_ws(",", k, F.lit("short"), event))
+    return events_view.select(
+        F.when(kind == "error", F.lit(" \n")).otherwise(F.concat(body, F.lit("\r\n"))).alias("value")
+    )
+
+
 def flights_feed(events_view: DataFrame) -> DataFrame:
     """Delayed-flight records: missing and empty ids, and delays as numbers, words and texts."""
     kind, k, user = F.col("event_type"), F.col("k"), F.col("user_id").cast("string")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skylag import fixed, schemas
+from skylag.functions import text
 
 # quotes inside a quoted cell are doubled, as other CSV tools do it, and blanks are kept
 CSV_OPTIONS = {
@@ -19,9 +20,6 @@ CSV_OPTIONS = {
 }
 # Written as "", an empty text differs from a null; Spark reads both as null without this.
 _EMPTY = chr(0xFDD1)  # never used in text
-# one cell after its tab: a quoted one with what follows the quote, or anything up to a tab
-_CELL = r'\t("[^"]*+(?:""[^"]*+)*+"[^\t]*|[^\t]*)'
-_QUOTED = r'^"([^"]*+(?:""[^"]*+)*+)"([^\t]*)$'
 _BAD_CHARACTER = "\N{REPLACEMENT CHARACTER}"
 _KEPT_CHARACTER = chr(0xFDD0)  # never used in text
 
@@ -94,20 +92,6 @@ def ignore_bad_utf8(line: Column) -> Column:
     return F.when(F.is_valid_utf8(line), line).otherwise(restored)
 
 
-def _cells(line: Column, has_quote: Column) -> Column:
-    """Cells of a tab-separated line. A cell may be quoted, with tabs and doubled quotes inside."""
-    found = F.regexp_extract_all(F.concat(F.lit("\t"), line), F.lit(_CELL), 1)
-
-    def unquoted(cell: Column) -> Column:
-        inside = F.regexp_extract(cell, _QUOTED, 1)
-        after = F.regexp_extract(cell, _QUOTED, 2)
-        return F.when(
-            cell.rlike(_QUOTED), F.concat(F.replace(inside, F.lit('""'), F.lit('"')), after)
-        ).otherwise(cell)
-
-    return F.when(has_quote, F.transform(found, unquoted)).otherwise(F.split(line, "\t"))
-
-
 def tsv_records(
     lines: DataFrame, schema: T.StructType = schemas.EVENT_LOG, value: str = "value"
 ) -> DataFrame:
@@ -120,11 +104,11 @@ def tsv_records(
     has_quote = line.contains('"')
     tabs = F.octet_length(line) - F.octet_length(F.replace(line, F.lit("\t"), F.lit("")))
     # Spark moves the filter below the split, so it counts tabs instead of splitting twice.
-    count = F.when(has_quote, F.size(_cells(line, has_quote))).otherwise(tabs + 1)
+    count = F.when(has_quote, F.size(text.cells(line))).otherwise(tabs + 1)
     return (
         lines.select(ignore_bad_utf8(F.col(value)).alias("_line"))
         .filter(count >= width)
-        .select(_cells(line, has_quote).alias("_row"))
+        .select(text.cells(line).alias("_row"))
         .select(*[F.get("_row", F.lit(i)).alias(f.name) for i, f in enumerate(schema.fields)])
     )
 

@@ -114,6 +114,16 @@ def test_board_lines(spark):
     ]
 
 
+def test_csv_documents(spark):
+    bodies = ["b,a\n1,2\n\n3\n", 'a\r\n"x,""y"""\r\nz,extra', "a,a\n1,2", "a,b", "", " \n ", None]
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "id int, value string")
+    rows = [(r.id, r.record) for r in feeds.csv_documents(df).collect()]
+    assert rows == [
+        (0, {"b": "1", "a": "2"}), (0, {"b": "3", "a": None}), (1, {"a": 'x,"y"'}), (1, {"a": "z"}),
+        (2, {"a": "2"}),
+    ]
+
+
 def test_metar_event(spark):
     raw = spark.createDataFrame(
         [{**{f: None for f in schemas.METAR_RAW.fieldNames()}, "station_id": "EPWA",

@@ -14,7 +14,7 @@ def rows(df):
 
 
 def test_weather_from_files_to_lines_and_table(spark, tmp_path):
-    names = schemas.METAR_RAW.fieldNames()
+    names = ["extra", *reversed(schemas.METAR_RAW.fieldNames())]
 
     def line(station, time, temp):
         return ",".join({"station_id": station, "observation_time": time, "temp_c": temp}.get(n, "") for n in names)
@@ -26,16 +26,17 @@ def test_weather_from_files_to_lines_and_table(spark, tmp_path):
             [line("EPWA", "2020-05-01T13:20:00Z", "12.5"), line("EDDF", "2026-05-01T13:20:00Z", "7")],
         ]
     ):
-        (tmp_path / "in" / f"p{poll}.csv").write_text("\n".join([",".join(names), *lines]) + "\n")
+        (tmp_path / "in" / f"p{poll}.csv").write_text("\n" + "\n".join([",".join(names), *lines]) + "\n")
     (tmp_path / "in" / "empty.csv").write_text("")
     messages = runs.run_bounded(live.weather_out(spark, str(tmp_path / "in")))
+    assert set(json.loads(messages.first().value)["full_record"]) == set(names)
     assert rows(messages.select("key", "topic")) == [
         ("EDDF|2026-05-01T13:20:00Z", "weather"), ("EPWA|2020-05-01T13:20:00Z", "weather"),
         ("EPWA|bad", "weather"),
     ]
     assert rows(live.weather_lines(messages)) == [
-        ("[EDDF] 2026-05-01T13:20:00Z 7C None",), ("[EPWA] 2020-05-01T13:20:00Z 12.5C None",),
-        ("[EPWA] bad 1C None",),
+        ("[EDDF] 2026-05-01T13:20:00Z 7C ",), ("[EPWA] 2020-05-01T13:20:00Z 12.5C ",),
+        ("[EPWA] bad 1C ",),
     ]
     hourly = spark.createDataFrame(
         [("EPWA", datetime(2020, 5, 1, 13), 11.0, 0.5, 20.0)],
