@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from skylag import fixed, schemas
@@ -41,10 +41,12 @@ def station_codes(lists: DataFrame, value: str = "value", default=None) -> DataF
 
 
 def load_station_codes(spark: SparkSession, path: str | None) -> DataFrame:
-    """Station codes of a text file; the default list for no file or an empty one."""
-    whole = (
-        spark.read.text(path, wholetext=True)
-        if path is not None
-        else spark.createDataFrame([("",)], "value string")
-    )
+    """Station codes of a text file; the default list for no file, a missing or an empty one."""
+    whole = spark.createDataFrame([("",)], "value string")
+    if path is not None:
+        try:
+            whole = spark.read.text(path, wholetext=True)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     return station_codes(whole, "value", fixed.DEFAULT_METAR_STATIONS)

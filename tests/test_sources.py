@@ -162,6 +162,7 @@ def test_station_code_files(spark, tmp_path):
         return [r.station for r in stations.load_station_codes(spark, path).collect()]
 
     assert codes(str(tmp_path / "s.txt")) == ["KJFK", "KLAX", "EPWA"]
+    assert codes(str(tmp_path / "none.txt")) == list(fixed.DEFAULT_METAR_STATIONS)
     assert codes(str(tmp_path / "blank.txt")) == codes(None) == list(fixed.DEFAULT_METAR_STATIONS)
 
 
