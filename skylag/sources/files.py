@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,16 @@ _BAD_CHARACTER = "\N{REPLACEMENT CHARACTER}"
 _KEPT_CHARACTER = chr(0xFDD0)  # never used in text
 
 
+def _header(spark: SparkSession, path: str) -> tuple[list[str], bool]:
+    """Column names of a CSV, and whether all are as in the file. Of two with one name the last
+    keeps it."""
+    first = spark.read.options(**{**CSV_OPTIONS, "header": False}).csv(path).first() or []
+    names = [
+        f"_c{i}" if not name or name in first[i + 1 :] else name for i, name in enumerate(first)
+    ]
+    return names, names == list(first)
+
+
 def scan_csv(
     spark: SparkSession, path: str, schema: T.StructType | None, **options
 ) -> DataFrame:
@@ -36,11 +47,16 @@ def scan_csv(
     reader = spark.read.options(**CSV_OPTIONS, **options)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    header, as_in_file = _header(spark, path)
+    if not header:
+        return spark.createDataFrame([], schema)
     declared = {f.name: f for f in schema.fields}
     in_file = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in header])
-    # every file of the path must have this header, or the read fails instead of mixing columns
-    rows = reader.options(emptyValue=_EMPTY, enforceSchema=False).schema(in_file).csv(path)
+    # Every file of the path must have this header, or the read fails instead of mixing columns.
+    # Names that occur twice or are empty cannot be compared.
+    rows = (
+        reader.options(emptyValue=_EMPTY, enforceSchema=not as_in_file).schema(in_file).csv(path)
+    )
 
     def column(field: T.StructField) -> Column:
         if field.name not in header:
@@ -120,8 +136,6 @@ def scan_tsv(spark: SparkSession, path: str, schema: T.StructType = schemas.EVEN
 
 def event_log_paths(start: str, end: str | None, base: str, suffix: str = fixed.EVENT_LOG_SUFFIX):
     """Input paths of an event log, one per day of a range given as YYYYMMDD texts."""
-    from datetime import datetime, timedelta
-
     first = datetime.strptime(start, "%Y%m%d")
     last = datetime.strptime(end or start, "%Y%m%d")
     if last < first:

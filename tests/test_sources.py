@@ -33,6 +33,14 @@ def test_yearly_union(spark, tmp_path):
     assert sorted(map(tuple, rows), key=str) == [("x", 1, None), ("x", 1, None), ("y", 2, "q")]
 
 
+def test_csv_with_repeated_and_empty_names(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,,n,a\nold,e,1,new\n")
+    row = files.scan_csv(spark, str(tmp_path / "one.csv"), SMALL).first()
+    assert (row.a, row.n) == ("new", 1)
+    (tmp_path / "none.csv").write_text("")
+    assert files.scan_csv(spark, str(tmp_path / "none.csv"), SMALL).count() == 0
+
+
 def test_inferred_csv(spark, tmp_path):
     (tmp_path / "one.csv").write_text("a,n\nx,1\n")
     assert dict(files.scan_csv(spark, str(tmp_path / "one.csv"), None).dtypes)["n"] == "int"
