@@ -46,6 +46,19 @@ def test_split_ignores_rows_without_a_date(spark):
     assert train.count() + test.count() == 15
 
 
+def test_undated_rows_are_counted(spark):
+    from skylag.operators.checks import undated_rows
+
+    data = spark.createDataFrame([(None,), (date(2025, 1, 1),)], "date date")
+    assert tuple(undated_rows(data).first()) == (1, 2)
+
+
+def test_split_needs_dates(spark):
+    """Days are few; time stamps need not be, and the ordered list of them runs in one task."""
+    with pytest.raises(TypeError):
+        training.date_cutoff(spark.sql("SELECT current_timestamp() AS date"))
+
+
 def test_feature_choice(spark):
     rows = views.feature_rows(spark, SF)
     columns = training.feature_columns(rows.columns)
