@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylag.llm.common import list_column, text_of
 from skylag.llm.registry import documents, query
@@ -377,7 +378,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_file: str = MODEL,
     pieces = load_pieces(model_file)
     extra = [output] + ([check] if check else [])
     kept = [f for f in docs.schema.fields if f.name not in extra]
-    schema = type(docs.schema)(kept).add(output, "array<int>")
+    schema = type(docs.schema)(kept).add(output, T.ArrayType(T.IntegerType()))
     schema = schema.add(check, "boolean") if check else schema
     names = [f.name for f in kept]
 
