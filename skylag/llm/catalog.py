@@ -1,6 +1,6 @@
 """All queries of this subpackage, by importing the modules that register them."""
 
-from skylag.llm import disclosure, exact_dedup, fingerprints, language_model, licenses, mixing, sentencepiece_matching, toxicity  # noqa: F401
+from skylag.llm import disclosure, exact_dedup, fingerprints, language_model, licenses, mixing, near_join, sentencepiece_matching, toxicity  # noqa: F401
 from skylag.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
