@@ -30,7 +30,7 @@ def duplicate_groups(
     normalise: Callable[[Column], Column] = without_blanks,
     digest: Callable[[Column], Column] = content_hash,
 ) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, _hash, _chars, _copies.
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, _hash, _chars.
 
     Rows are grouped by a 128-bit hash of the normalised text. In each group with more than one
     row, the text of the smallest id is compared byte by byte with all others; a text that only
@@ -39,8 +39,8 @@ def duplicate_groups(
     and its rows meet one representative in a join that AQE may split.
 
     A null text is an empty one; a null id comes after all others. Rows that repeat an id with an
-    equal text of the same length are one document: each counts in group_size, all carry the same
-    verdict, and `_copies` counts them. Further columns of `docs` are ignored.
+    equal text of the same length are one document: each counts in group_size, and all carry the
+    same verdict. Further columns of `docs` are ignored.
     """
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
@@ -92,15 +92,15 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 F.col("_chars").alias("_n")).distinct()
     )
     rows = docs.withColumns({
-        "_key_sha": F.sha2(without_blanks(text_of(text_col)), 256),
-        "_key_n": F.char_length(text_of(text_col)).cast("long"),
+        "__sha": F.sha2(without_blanks(text_of(text_col)), 256),
+        "__n": F.char_length(text_of(text_col)).cast("long"),
     })
     on = (
-        rows[id_col].eqNullSafe(kept["_id"]) & (rows["_key_sha"] == kept["_sha"])
-        & (rows["_key_n"] == kept["_n"])
+        rows[id_col].eqNullSafe(kept["_id"]) & (rows["__sha"] == kept["_sha"])
+        & (rows["__n"] == kept["_n"])
     )
     return (
-        rows.join(kept, on, "left_semi").dropDuplicates([id_col, "_key_sha", "_key_n"])
+        rows.join(kept, on, "left_semi").dropDuplicates([id_col, "__sha", "__n"])
         .select(*docs.columns)
     )
 

@@ -116,7 +116,7 @@ def mix(
     cap: int = CAP,
     seed: int = 11,
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, copies, _key_hash.
+    """One row per document: doc_id, size, source_size, target, taken, copies.
 
     Documents are counted by source and exact length. Each source takes all its documents as
     often as its target allows, and for the rest `fill_budget` says how many of each length.
@@ -193,12 +193,12 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataF
     Where rows repeat an id, all of them are taken as often as the id's rows together.
     """
     copies = (
-        mix(docs, id_col, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-        .filter("_copies > 0").withColumnRenamed("doc_id", "_id")
+        mix(docs, id_col, **options).groupBy("doc_id").agg(F.max("copies").alias("__copies"))
+        .filter("__copies > 0").withColumnRenamed("doc_id", "__id")
     )
     return (
-        docs.join(copies, docs[id_col].eqNullSafe(copies["_id"]))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+        docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
     )
 
 
