@@ -378,7 +378,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_file: str = MODEL,
     pieces = load_pieces(model_file)
     extra = [output] + ([check] if check else [])
     kept = [f for f in docs.schema.fields if f.name not in extra]
-    schema = type(docs.schema)(kept).add(output, T.ArrayType(T.IntegerType()))
+    schema = T.StructType(list(kept)).add(output, T.ArrayType(T.IntegerType()))
     schema = schema.add(check, "boolean") if check else schema
     names = [f.name for f in kept]
 
@@ -417,7 +417,7 @@ def decode(tokens: DataFrame, ids_col: str = "token_ids", model_file: str = MODE
                 [*(batch.column(n) for n in names), pa.array(texts, pa.string())], [*names, output]
             )
 
-    return tokens.mapInArrow(scan, type(tokens.schema)(kept).add(output, "string"))
+    return tokens.mapInArrow(scan, T.StructType(list(kept)).add(output, "string"))
 
 
 @query("op1_sentencepiece")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylag.llm.common import text_of
 from skylag.llm.registry import documents, query
@@ -214,7 +215,7 @@ def score(docs: DataFrame, model: tuple[dict[str, float], float], text_col: str
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.float64())], [*names, output])
 
     fields = [f for f in docs.schema.fields if f.name != output]
-    schema = type(docs.schema)(fields).add(output, "double")
+    schema = T.StructType(fields).add(output, "double")
     return docs.mapInArrow(scan, schema)
 
 
