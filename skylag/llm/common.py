@@ -69,6 +69,13 @@ def blocks(
         first = end
 
 
+def portions(batch: pa.RecordBatch, column: str = "text", most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of about `most` bytes of text."""
+    _, offsets = utf8(batch.column(column))
+    for first, end, _, _ in blocks(np.zeros(0, np.uint8), offsets, most):
+        yield batch.slice(first, end - first)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit values with all bits depending on all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import text_of
+from skylag.llm.common import portions, text_of
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
@@ -38,8 +38,9 @@ def count_words(texts: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
-            for words in _texts(batch):
-                counts.update(words)
+            for part in portions(batch):
+                for words in _texts(part):
+                    counts.update(words)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.binary()).cast(pa.string()),
                  pa.array(list(counts.values()), pa.int64())], ["word", "n"],
@@ -83,7 +84,7 @@ def count_outcomes(texts: DataFrame, head: dict[bytes, int]) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole)):
             out, one, two = outcomes(*_head_ids(_texts(batch), head))
             codes, n = np.unique((two * (SIZE + 1) + one) * SIZE + out, return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -196,7 +197,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_count = np.append(np.log10(counts + 1.0), 0.0)  # the last for words outside the head
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole)):
             split = _texts(batch)
             ids, lengths = _head_ids(split, head)
             out, one, two = outcomes(ids, lengths)
