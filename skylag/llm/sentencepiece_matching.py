@@ -28,8 +28,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _NEVER = 1 << 30
 _BYTES = 3  # the 256 byte pieces follow the three special ones
-# tokens of remembered units, after which a task forgets them and starts anew
-REMEMBERED = 4_000_000
+# tokens of remembered units, after which a task forgets them and starts anew; characters of new
+# units that share a suffix array
+REMEMBERED, ARRAY_CHARS = 3_000_000, 400_000
 
 
 def load_pieces(model_file: str = MODEL) -> list[tuple[str, float, bool]]:
@@ -231,11 +232,16 @@ class Vocabulary:
         """Ids of all units, one after another, and where each unit's end."""
         plain = [i for i, u in enumerate(units) if not u.startswith(SPACE * 2)]
         out: list[list[int]] = [[]] * len(units)
-        if plain:
-            ids, ends = self._relaxed([units[i] for i in plain])
+        sizes = np.cumsum([len(units[i]) for i in plain])
+        first = 0
+        while first < len(plain):
+            done = sizes[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(sizes, done + ARRAY_CHARS, "right")))
+            ids, ends = self._relaxed([units[i] for i in plain[first:last]])
             starts = np.concatenate(([0], ends[:-1]))
-            for i, a, b in zip(plain, starts.tolist(), ends.tolist()):
+            for i, a, b in zip(plain[first:last], starts.tolist(), ends.tolist()):
                 out[i] = ids[a:b]
+            first = last
         # pieces of blanks alone all have one score, so their order depends on the place
         for i, unit in enumerate(units):
             if unit.startswith(SPACE * 2):
