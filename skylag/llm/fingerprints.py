@@ -7,16 +7,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylag.llm.common import mixed, text_of, utf8, blocks
+from skylag.llm.common import blocks, mixed, portions, text_of, utf8
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
 # bytes of a k-mer and of its inner substrings; anchors of a fingerprint; places that still agree
 K, S, ANCHORS, SLACK = 24, 8, 64, 32
+# ranges of ids for each partition
+RANGES = 4
 _WINDOW = K - S + 1
 
 
@@ -132,81 +133,79 @@ def _results(texts: list[str], anchors: list, following: list[str], next_anchors
     return [pa.array(c, t) for c, (_, t) in zip(columns, _FIELDS)]
 
 
+def _place(value: Column, bounds: list) -> Column:
+    """How many of the ascending bounds are below the value, in two steps of a root of their number."""
+    if not bounds:
+        return F.lit(0)
+    step = int(np.ceil(len(bounds) ** 0.5))
+    known, coarse = (F.array(*map(F.lit, b)) for b in (bounds, bounds[step - 1 :: step]))
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b < value))
+
+    start = below(coarse) * step
+    return start + below(F.slice(known, start + 1, step))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next.
 
-    Documents are range-partitioned by id once; each task goes through its range in order and
-    needs one following text at a time. Only the last text of a range follows into the next one:
-    first and last rows of the ranges are written and put together afterwards.
+    Ids are cut into ranges, several for each partition. The first text of a range is added to the
+    range before it as its end, one row each; then all documents are exchanged once, and each task
+    goes through its ranges in order, holding one text at a time besides its batch.
 
     A null text is empty and has an empty fingerprint. Null ids come last; rows that repeat an id
     follow each other in the order of their texts, and equal texts have equal fingerprints. The
     only document of a table is followed by itself. Further columns are ignored.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    ordered = (
-        docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-        .repartitionByRange(F.asc_nulls_last("doc_id"))
-        .sortWithinPartitions(F.asc_nulls_last("doc_id"), F.asc("text"))
+    ids = docs.select(F.col(id_col).alias("doc_id"))
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # at most as many bounds as ranges
+    steps = [i / ranges for i in range(1, ranges)]
+    bounds = ids.agg(F.percentile_approx("doc_id", steps, 10 * ranges)).first()[0] or []
+    bounds = sorted(set(bounds))
+    place = F.when(F.isnull("doc_id"), len(bounds) + 1).otherwise(_place(F.col("doc_id"), bounds)).cast("int")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("range", place)
+    first = rows.groupBy("range").agg(F.min("doc_id").alias("least"))
+    order = Window.orderBy("range")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # one row for each range: windows and broadcast are as small as the number of ranges
+    first = written(
+        first.select("range", "least", F.coalesce(F.lag("range").over(order), F.last("range").over(whole)).alias("before")),
+        "fingerprint-ranges",
     )
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        names = ["doc_id", *_NAMES, "_part", "_edge", "_text"]
-
-        def rows(ids, columns, edge, texts):
-            n = len(ids)
-            return pa.RecordBatch.from_arrays(
-                [ids, *columns, pa.array([part] * n, pa.int32()), pa.array([edge] * n, pa.string()),
-                 pa.array(texts, pa.string())], names,
-            )
-
-        def edge(ids, kind, text):
-            return rows(ids, [pa.nulls(1, t) for _, t in _FIELDS], kind, [text])
-
-        held = None  # id, text and anchors of the last row so far
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
-            anchors = anchors_of(texts)
-            if held is None:
-                yield edge(ids.slice(0, 1), "head", texts[0])
-            else:
-                yield rows(held[0], _results([held[1]], [held[2]], texts[:1], anchors[:1]), "", [None])
-            n = len(texts) - 1
-            yield rows(ids.slice(0, n), _results(texts[:-1], anchors[:-1], texts[1:], anchors[1:]), "", [None] * n)
-            held = ids.slice(n, 1), texts[-1], anchors[-1]
-        if held is not None:
-            yield edge(held[0], "tail", held[1])
-
-    found = written(
-        ordered.mapInArrow(scan, f"doc_id {id_type}, {_SCHEMA}, _part int, _edge string, _text string"),
-        "fingerprints",
-    )
-    heads = found.filter("_edge = 'head'").select(F.col("_part").alias("_next"), F.col("_text").alias("following"))
-    # one row for each range of the table
-    after = F.lead("_next").over(Window.orderBy("_next"))
-    first = F.first("_next").over(
-        Window.orderBy("_next").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    order = heads.select(F.col("_next").alias("_part"), F.coalesce(after, first).alias("_next"))
-    pairs = (
-        found.filter("_edge = 'tail'").select("doc_id", "_part", F.col("_text").alias("text"))
-        .join(order, "_part").join(heads, "_next").select("doc_id", "text", "following")
+    heads = (
+        rows.join(F.broadcast(first.withColumnRenamed("range", "r")),
+                  (F.col("range") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("least")))
+        .groupBy("before").agg(F.min("text").alias("text"))
+        .select(F.lit(None).cast(id_type).alias("doc_id"), "text", F.col("before").alias("range"), F.lit(1).alias("end"))
     )
 
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, following = (batch.column(c).to_pylist() for c in ("text", "following"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *_results(texts, anchors_of(texts), following, anchors_of(following))],
-                ["doc_id", *_NAMES],
-            )
-
-    return found.filter("_edge = ''").select("doc_id", *_NAMES).unionByName(
-        pairs.mapInArrow(finish, f"doc_id {id_type}, {_SCHEMA}")
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows_of(ids, *columns):
+            return pa.RecordBatch.from_arrays([ids, *_results(*columns)], ["doc_id", *_NAMES])
+
+        held = None  # id, text and anchors of a document whose next row is in the next batch
+        for batch in (part for whole in batches for part in portions(whole)):
+            texts, end = batch.column("text").to_pylist(), batch.column("end").to_numpy()
+            ids, anchors = batch.column("doc_id"), anchors_of(texts)
+            if held is not None:
+                yield rows_of(held[0], [held[1]], [held[2]], texts[:1], anchors[:1])
+            last = len(texts) - 1
+            here = np.flatnonzero(end[:last] == 0).tolist()
+            if here:
+                yield rows_of(
+                    ids.take(pa.array(here)), [texts[i] for i in here], [anchors[i] for i in here],
+                    [texts[i + 1] for i in here], [anchors[i + 1] for i in here],
+                )
+            held = None if end[last] else (ids.slice(last, 1), texts[last], anchors[last])
+
+    return (
+        rows.withColumn("end", F.lit(0)).unionByName(heads)
+        .repartition("range").sortWithinPartitions("range", "end", "doc_id", "text")
+        .mapInArrow(scan, f"doc_id {id_type}, {_SCHEMA}")
     )
 
 
