@@ -42,6 +42,10 @@ def features_of(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in PREFIXES if len(word) >= n)]
 
 
+def features_of_all(words: set[str]) -> set[str]:
+    return {f for w in words for f in features_of(w)}
+
+
 def words_of(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
@@ -79,7 +83,7 @@ def select_features(rows: DataFrame, most: int = MAX_FEATURES) -> list[str]:
         for batch in batches:
             counts: dict[str, list[int]] = {}
             for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                for feature in {f for w in words_of(text) for f in features_of(w)}:
+                for feature in features_of_all(words_of(text)):
                     counts.setdefault(feature, [0, 0])[toxic] += 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(counts), pa.string()),
@@ -113,7 +117,7 @@ def select_features(rows: DataFrame, most: int = MAX_FEATURES) -> list[str]:
 
 
 def indices(words: set[str], index: dict[str, int]) -> list[int]:
-    return sorted({index[f] for w in words for f in features_of(w) if f in index})
+    return sorted(index[f] for f in features_of_all(words) if f in index)
 
 
 def _product(rows: list[list[int]], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
