@@ -9,7 +9,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -34,11 +33,17 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     )
 
 
-def with_fields(df: DataFrame, *fields: tuple[str, T.DataType]) -> T.StructType:
-    """The schema of `df` with more columns; a column of that name is replaced."""
-    names = {n for n, _ in fields}
-    kept = [f for f in df.schema.fields if f.name not in names]
-    return T.StructType(kept + [T.StructField(n, t) for n, t in fields])
+def near_keys(df: DataFrame, key: str, wanted: DataFrame, buckets: int = 1 << 20) -> DataFrame:
+    """The rows of `df` whose key may be among those of `wanted`, without an exchange of `df`.
+
+    At most `buckets` hash values of the wanted keys are broadcast, whatever their number. A join
+    on the key itself has to follow; where there are many keys, it alone decides.
+    """
+    def value(name):
+        return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
+
+    kept = wanted.select(value(key).alias("__bucket")).distinct()
+    return df.join(F.broadcast(kept), value(key) == F.col("__bucket"), "left_semi")
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

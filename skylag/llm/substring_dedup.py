@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import blocks, list_column, mixed, text_of, utf8
+from skylag.llm.common import blocks, list_column, mixed, near_keys, portions, text_of, utf8
 from skylag.llm.registry import documents, query
 from skylag.llm.suffix_sort import suffix_array
 from skylag.session import written
@@ -29,6 +29,9 @@ _WHOLE = (LENGTH - SYMBOL + 1) // SYMBOL
 _EDGE = LENGTH - _WHOLE * SYMBOL
 # distinct surroundings of one anchor that are compared in one suffix array, and bytes of an array
 MOST, ARRAY_BYTES = 2000, 1 << 20
+# anchors are counted in so many counters; one whose counter is so far above the usual is dealt to
+# so many lists
+COUNTERS, FREQUENT, SALTS = 1 << 18, 1000, 64
 _U = np.uint64
 
 
@@ -76,40 +79,103 @@ def anchors(data: np.ndarray, offsets: np.ndarray):
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "_key", "n_bytes", "sha", "anchor", "at", "lo", "hi"]
+    """Distinct anchors of each document, those that it has twice, and a row of counters a batch."""
+    names = ["doc_id", "_key", "n_bytes", "sha", "anchors", "twice", "buckets", "counts"]
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
     for batch in batches:
+        totals = np.zeros(COUNTERS, np.int64)
         for first, end, data, offsets in blocks(*utf8(batch.column("text"))):
-            text, at, lo, hi, value = anchors(data, offsets)
-            ends = np.searchsorted(text, np.arange(end - first), "right")
+            text, _, _, _, value = anchors(data, offsets)
+            order = np.lexsort((value, text))
+            text, value = text[order], value[order]
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
+            second = ~new & np.append(False, new[:-1])[: len(new)]
+            totals += np.bincount((value[new] % _U(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+            k = end - first
             parts = [data[a:b].tobytes() for a, b in zip(offsets, offsets[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(first, end - first),
+                    batch.column("doc_id").slice(first, k),
                     pa.array([hashlib.md5(p).digest() for p in parts], pa.binary()),
-                    pa.array(np.diff(offsets)), pa.array([hashlib.sha256(p).hexdigest() for p in parts]),
-                    list_column(value.view(np.int64), ends, pa.int64()),
-                    *(list_column(x.astype(np.int32), ends, pa.int32()) for x in (at, lo, hi)),
+                    pa.array(np.diff(offsets)), pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string()),
+                    *(
+                        list_column(value[use].view(np.int64), np.searchsorted(text[use], np.arange(k), "right"), pa.int64())
+                        for use in (new, second)
+                    ),
+                    pa.nulls(k, ints), pa.nulls(k, ints),
                 ],
                 names,
             )
+        used = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, batch.schema.field("doc_id").type), pa.nulls(1, pa.binary()), pa.array([-1], pa.int64()),
+             pa.nulls(1, pa.string()), pa.nulls(1, longs), pa.nulls(1, longs),
+             pa.array([used.astype(np.int32)], ints), pa.array([totals[used].astype(np.int32)], ints)], names,
+        )
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each anchor of a document; those of frequent ones are dealt by document."""
+    for batch in batches:
+        lists = batch.column("anchors")
+        value = lists.flatten().to_numpy()
+        row = np.repeat(batch.column("_row").to_numpy(), lists.value_lengths().to_numpy())
+        hot = frequent[(value.view(_U) % _U(COUNTERS)).astype(np.int64)]
+        salt = np.where(hot, (mixed(row.astype(_U)) % _U(SALTS)).astype(np.int64) + 1, 0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(value), pa.array(salt.astype(np.int32)), pa.array(row)], ["anchor", "salt", "_row"]
+        )
+
+
+def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of anchors that occur again, from rows in the order of anchor and salt.
+
+    Frequent anchors, which have a salt, all stay; one that is not repeated is found out later.
+    """
+    def rows(value, row):
+        return pa.RecordBatch.from_arrays([pa.array(value), pa.array(row)], ["anchor", "_row"])
+
+    known = None  # the anchor of the rows before, where it has been met twice
+    held = [np.zeros(0, np.int64)] * 3
+    for batch in batches:
+        value, salt, row = (
+            np.concatenate((h, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64)))
+            for h, c in zip(held, ("anchor", "salt", "_row"))
+        )
+        if not len(value):
+            continue
+        new = np.concatenate(([True], value[1:] != value[:-1]))
+        run = np.cumsum(new) - 1
+        keep = (np.bincount(run)[run] > 1) | (salt > 0) | (value == known)
+        if keep[-1]:
+            known, held = value[-1], [np.zeros(0, np.int64)] * 3
+        else:
+            known, held = None, [c[-1:] for c in (value, salt, row)]
+        yield rows(value[keep], row[keep])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The surroundings of each anchor that occurs again: all bytes of the strings that have it."""
-    for batch in batches:
-        for part in range(0, batch.num_rows, 64):
-            rows, out = batch.slice(part, 64), []
-            for row, text, places in zip(*(rows.column(c) for c in ("_row", "text", "places"))):
-                row, text = row.as_py(), text.as_py().encode("utf-8")
-                out += [
-                    (p["anchor"], row, p["lo"], p["at"] - p["lo"], text[p["lo"] : p["hi"] + LENGTH])
-                    for p in places.as_py()
-                ]
-            columns = zip(*out) if out else ((),) * 5
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "_row", "lo", "off", "bytes"]
-            )
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    for batch in (part for whole in batches for part in portions(whole, most=1 << 18)):
+        data, offsets = utf8(batch.column("text"))
+        text, at, lo, hi, value = anchors(data, offsets)
+        cuts, out = np.searchsorted(text, np.arange(len(offsets))), []
+        for i, (row, wanted) in enumerate(zip(batch.column("_row").to_pylist(), batch.column("wanted"))):
+            a, b = cuts[i], cuts[i + 1]
+            found = a + np.flatnonzero(np.isin(value[a:b].view(np.int64), wanted.values.to_numpy()))
+            body = data[offsets[i] : offsets[i + 1]].tobytes()
+            out += [
+                (v, row, p, q - p, body[p : r + LENGTH])
+                for v, p, q, r in zip(
+                    value[found].view(np.int64).tolist(), lo[found].tolist(), at[found].tolist(), hi[found].tolist()
+                )
+            ]
+        columns = zip(*out) if out else ((),) * 5
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["anchor", "_row", "lo", "off", "bytes"]
+        )
 
 
 def _rank(columns: list[np.ndarray]) -> np.ndarray:
@@ -273,21 +339,30 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     the hash of the whole text. Equal texts are compared once, as their strings repeat anyway.
 
     Work grows with the passages that repeat: of the rest, only one anchor in about 70 bytes is
-    exchanged. Surroundings of an anchor are counted before they meet; MOST distinct ones share a
+    exchanged, once, and frequent anchors are dealt by document. Surroundings of an anchor are counted before they meet; MOST distinct ones share a
     suffix array, and an anchor with more is dealt to several, whose single strings are then
     compared by hash. A null or short text loses nothing; null ids are kept; further columns are
     ignored.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    scanned = written(
+    counted = written(
         texts.mapInArrow(
             _scan,
-            f"doc_id {id_type}, _key binary, n_bytes long, sha string, anchor array<long>, at array<int>, "
-            "lo array<int>, hi array<int>",
+            f"doc_id {id_type}, _key binary, n_bytes long, sha string, anchors array<long>, twice array<long>, "
+            "buckets array<int>, counts array<int>",
         ).withColumn("_row", F.monotonically_increasing_id()),
         "strings-anchors",
     )
+    scanned = counted.filter("n_bytes >= 0")
+    seen = (
+        counted.filter("n_bytes < 0").select(F.explode(F.arrays_zip("buckets", "counts")).alias("b"))
+        .groupBy("b.buckets").agg(F.sum("b.counts").alias("c")).toArrow()
+    )
+    counters = np.zeros(COUNTERS, np.int64)
+    counters[seen.column("buckets").to_numpy()] = seen.column("c").to_numpy()
+    usual = np.median(counters)
+    frequent = counters > usual + 3 * usual**0.5 + FREQUENT
     contents = written(
         scanned.groupBy("_key").agg(
             F.count("*").alias("copies"), F.min("_row").alias("_first"), F.min_by("doc_id", "_row").alias("_id")
@@ -298,21 +373,22 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         scanned.select("_key", "_row").join(contents.filter("copies > 1").select("_key", "_first"), "_key")
         .filter("_row != _first").select("_row")
     )
-    entries = (
-        scanned.select("_row", "anchor", "at", "lo", "hi").join(copies, "_row", "left_anti")
-        .select("_row", F.explode(F.arrays_zip("anchor", "at", "lo", "hi")).alias("p"))
-        .select("_row", "p.*")
+    dealt = (
+        scanned.filter(F.size("anchors") > 0).select("_row", "anchors").join(copies, "_row", "left_anti")
+        .mapInArrow(lambda b: _dealt(b, frequent), "anchor long, salt int, _row long")
+        .repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
+        .mapInArrow(_again, "anchor long, _row long")
     )
-    again = entries.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    places = (
-        entries.join(again, "anchor").groupBy("_row")
-        .agg(F.collect_list(F.struct("anchor", "at", "lo", "hi")).alias("places"))
+    inside = scanned.filter(F.size("twice") > 0).select(F.explode("twice").alias("anchor"), "_row")
+    wanted = (
+        dealt.unionByName(inside).groupBy("_row").agg(F.collect_set("anchor").alias("wanted"))
+        .join(contents.select(F.col("_first").alias("_row"), "_key", "_id"), "_row")
     )
-    wanted = places.join(contents.select(F.col("_first").alias("_row"), "_key", "_id"), "_row")
+    wanted = written(wanted, "strings-wanted")
     keyed = texts.withColumn("_key", F.unhex(F.md5("text")))
     affected = written(
-        keyed.join(wanted, "_key").filter(F.col("doc_id").eqNullSafe(F.col("_id")))
-        .select("_row", "text", "places"),
+        near_keys(keyed, "_key", wanted).join(wanted, "_key").filter(F.col("doc_id").eqNullSafe(F.col("_id")))
+        .select("_row", "text", "wanted"),
         "strings-affected",
     )
     segments = affected.mapInArrow(_cut, "anchor long, _row long, lo int, off int, bytes binary")
@@ -325,12 +401,12 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         distinct.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > MOST)
         .select("anchor", F.ceil(F.col("n") / MOST).cast("int").alias("parts"))
     )
-    dealt = (
+    parts = (
         distinct.join(many, "anchor", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
         .withColumn("part", F.pmod(F.xxhash64("h"), F.col("parts")).cast("int"))
     )
     found = written(
-        dealt.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+        parts.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
         .mapInArrow(_compare, _FOUND),
         "strings-found",
     )
