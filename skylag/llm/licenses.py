@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylag.llm import common
-from skylag.llm.common import row_key, text_of
+from skylag.llm.common import near_keys, row_key, text_of
 from skylag.llm.registry import documents, query
+from skylag.session import written
 
 # Phrases that name a license, and the label of each.
 PHRASES = {
@@ -170,10 +171,11 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         .withColumn("diagonal", F.col("pos") - F.col("at"))
     )
     # a hot diagonal is one document's, and each of its k-grams counts once
-    votes = (
+    votes = written(
         hits.groupBy("_key", "template", "diagonal")
         .agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
-        .groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("template", "diagonal", "first", "last"))).alias("votes"))
+        .groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("template", "diagonal", "first", "last"))).alias("votes")),
+        "license-votes",
     )
     templates = [(label, words_of(text)) for label, text in TEMPLATES]
 
@@ -199,7 +201,7 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             )
 
     return (
-        texts.join(votes, "_key").select("_key", "text", "votes")
+        near_keys(texts, "_key", votes).join(votes, "_key").select("_key", "text", "votes")
         .mapInArrow(verify, "_key binary, found array<struct<label:string,start:long,end:long,covered:double>>")
         .filter(F.size("found") > 0).dropDuplicates(["_key"])
     )
