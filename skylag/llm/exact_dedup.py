@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import text_of
+from skylag.llm.common import near_keys, text_of
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
@@ -51,11 +51,15 @@ def duplicate_groups(
         rows.select("doc_id", "_hash", "_chars", F.sha2("_text", 256).alias("text_sha256")),
         "dedup-keys",
     )
-    repeated = (
+    repeated = written(
         keys.groupBy("_hash").agg(F.count("*").alias("_n"), F.min("doc_id").alias("_first"))
-        .filter("_n > 1").select("_hash", "_first")
+        .filter("_n > 1").select("_hash", "_first"),
+        "dedup-repeated",
+    )
+    members = written(
+        near_keys(rows, "_hash", repeated).join(repeated, "_hash").select("_hash", "doc_id", "_first", "_text"),
+        "dedup-members",
     )
-    members = rows.join(repeated, "_hash").select("_hash", "doc_id", "_first", "_text")
     first = (
         members.filter(F.col("doc_id").eqNullSafe(F.col("_first")))
         .groupBy("_hash").agg(F.min("_text").alias("_first_text"))
