@@ -11,25 +11,27 @@ from skylag.session import written
 def global_rank(df: DataFrame, order: list[Column], output: str = "rank") -> DataFrame:
     """Row number from 0 in `order`, which must have no ties.
 
-    Rows are range-partitioned, numbered inside each range, and shifted by the row count of
-    the ranges before it. The ranges are written first: they are drawn from a sample, and a
-    second evaluation could draw others. One count per range is all that meets in one task.
+    Rows are range-partitioned, sorted inside each range, numbered by their place there, and
+    shifted by the row count of the ranges before it. The rows move once. They are written, as the
+    ranges are drawn from a sample and a second evaluation could draw others. One count per range
+    is all that meets in one task, and all that is broadcast.
     """
     ranged = written(
-        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "ranges"
+        df.repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id()),
+        "ranges",
     )
-    # every range is a partition number, so this window runs over one row per partition
+    # the id holds the partition above 33 bits, and the place in it below
+    part = F.shiftright("_id", 33)
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
+        ranged.groupBy(part.alias("_range")).agg(F.count("*").alias("_rows"))
         .select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     return (
-        ranged.withColumn("_inside", inside)
-        .join(offsets, "_range")
-        .withColumn(output, F.col("_offset") + F.col("_inside") - 1)
-        .drop("_range", "_inside", "_offset")
+        ranged.withColumn("_range", part).join(F.broadcast(offsets), "_range")
+        .withColumn(output, F.col("_offset") + F.col("_id").bitwiseAND((1 << 33) - 1))
+        .drop("_range", "_id", "_offset")
     )
 
 
@@ -39,16 +41,13 @@ def label_index(df: DataFrame, column: str, output: str = "label_index") -> Data
     return global_rank(counts, [F.desc("n"), F.asc(column)], output)
 
 
-# up to here the rows of a limit may meet in one task
-SMALL_LIMIT = 100_000
-
-
 def limit_records(df: DataFrame, max_records: int, *order) -> DataFrame:
-    """The first `max_records` rows in `order`, which must have no ties; 0 keeps all."""
+    """The first `max_records` rows in `order`, which must have no ties; 0 keeps all.
+
+    Rows are numbered over ranges, so no task gets more than its range, however large the limit.
+    """
     if not max_records:
         return df
-    if max_records <= SMALL_LIMIT:
-        return df.orderBy(*order).limit(max_records)
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
     return global_rank(df, columns, "_rank").filter(F.col("_rank") < max_records).drop("_rank")
 

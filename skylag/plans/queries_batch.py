@@ -429,6 +429,19 @@ def record_limit(spark, sf):
     ).select("event_id", "ts", "event_type")
 
 
+@query(
+    "record_limit_half",
+    """SELECT event_id, event_type FROM events
+       QUALIFY row_number() OVER (ORDER BY ts, event_id) <= (SELECT count(*) // 2 FROM events)""",
+)
+def record_limit_half(spark, sf):
+    """A limit that grows with the table."""
+    events = views.table(spark, sf, "events")
+    return ranking.limit_records(events, events.count() // 2, "ts", "event_id").select(
+        "event_id", "event_type"
+    )
+
+
 # --- scalar functions -----------------------------------------------------------------------------------------
 
 

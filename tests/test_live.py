@@ -101,11 +101,10 @@ def test_salted_join_and_dedup_change_nothing(spark, path):
     assert rows(kept) == rows(seen.select("station", "ts").distinct())
 
 
-def test_large_limit_is_exact(spark, monkeypatch):
+def test_large_limit_is_exact(spark):
     from skylag.operators import ranking
 
     data = spark.range(1000, numPartitions=5)
-    monkeypatch.setattr(ranking, "SMALL_LIMIT", 10)
     kept = ranking.limit_records(data, 300, F.desc("id"))
     assert sorted(r.id for r in kept.collect()) == list(range(700, 1000))
 
