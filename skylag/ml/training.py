@@ -62,7 +62,8 @@ def training_frame(features: DataFrame, label: str = fixed.LABEL) -> DataFrame:
 
 
 def date_cutoff(df: DataFrame, share: float = fixed.TRAIN_SHARE) -> DataFrame:
-    """One row: number of distinct dates, and the date at position max(1, floor(share * n)).
+    """One row: number of distinct dates, and the date at position floor(share * n), which is kept
+    within 1 and n - 1, so that both sides have a date where there are two.
 
     Dates are made distinct in parallel first; the window runs over one row per calendar day.
     """
@@ -74,22 +75,29 @@ def date_cutoff(df: DataFrame, share: float = fixed.TRAIN_SHARE) -> DataFrame:
         (F.row_number().over(Window.orderBy(fixed.DATE)) - 1).alias("position"),
         F.count("*").over(Window.partitionBy()).alias("n_dates"),
     )
-    at = F.greatest(F.lit(1), F.floor(F.col("n_dates") * F.lit(share)))
+    if not 0 < share < 1:
+        raise ValueError("the share of the first side must lie between 0 and 1")
+    at = F.greatest(F.lit(1), F.least(F.floor(F.col("n_dates") * F.lit(share)), F.col("n_dates") - 1))
     return numbered.agg(
         F.max("n_dates").alias("n_dates"),
         F.max(F.when(F.col("position") == at, F.col(fixed.DATE))).alias("cutoff"),
     )
 
 
+SPLIT_MARK = "|"
+
+
 def random_side(
     columns: list[str], share: float = fixed.TRAIN_SHARE, seed: int = fixed.SPLIT_SEED
 ) -> Column:
     """True for the rows of the first side of a random split.
 
-    A hash of the row decides, so a partition that is computed again falls on the same side.
+    The first digits of a hash of the row's texts decide, so a partition that is computed again
+    falls on the same side, and other tools can repeat it. Nulls count as empty texts.
     """
-    buckets = 1_000_000
-    return F.pmod(F.xxhash64(F.lit(seed), *columns), F.lit(buckets)) < int(share * buckets)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    digits = F.substring(F.md5(F.concat_ws(SPLIT_MARK, F.lit(str(seed)), *cells)), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") < int(share * 2**32)
 
 
 def random_split(df: DataFrame, share: float = fixed.TRAIN_SHARE, seed: int = fixed.SPLIT_SEED):
@@ -97,27 +105,34 @@ def random_split(df: DataFrame, share: float = fixed.TRAIN_SHARE, seed: int = fi
     return df.filter(side), df.filter(~side)
 
 
-def split_by_date(df: DataFrame, share: float = fixed.TRAIN_SHARE):
-    """(train, test): dates before the cutoff, and the rest. Rows without a date are in neither.
+def _sides(train: Column, by_chance: Column, days) -> Column:
+    """The side of each row, given one row of `date_cutoff` as columns."""
+    n_dates, cutoff = days
+    few = F.coalesce(n_dates, F.lit(0)) < fixed.MIN_SPLIT_DATES
+    by_date = F.when(train < cutoff, "train").when(train >= cutoff, "test")
+    return F.when(few, F.when(by_chance, "train").otherwise("test")).otherwise(by_date)
+
 
-    Under five distinct dates, or with one side empty, the split is random.
+def label_split(df: DataFrame, share: float = fixed.TRAIN_SHARE) -> DataFrame:
+    """The rows with a `split` column, in a single plan.
+
+    Dates before the cutoff are `train`, the rest `test`; rows without a date are left out. Under
+    five distinct dates the split is random, and rows without a date take part.
     """
+    days = date_cutoff(df, share)
+    found = tuple(days.select(c).scalar() for c in ("n_dates", "cutoff"))
+    side = _sides(F.col(fixed.DATE), random_side(df.columns, share), found)
+    return df.withColumn("split", side).filter(F.col("split").isNotNull())
+
+
+def split_by_date(df: DataFrame, share: float = fixed.TRAIN_SHARE):
+    """(train, test) of the same split. The cutoff is fetched first, so that its filter reaches
+    the scan."""
     days = date_cutoff(df, share).first()
-    if days["n_dates"] is None or days["n_dates"] < fixed.MIN_SPLIT_DATES:
+    if (days["n_dates"] or 0) < fixed.MIN_SPLIT_DATES:
         return random_split(df, share)
     cutoff = F.lit(days["cutoff"])
-    train, test = df.filter(F.col(fixed.DATE) < cutoff), df.filter(F.col(fixed.DATE) >= cutoff)
-    # with five dates or more the cutoff leaves at least one date on each side
-    return train, test
-
-
-def label_split(df: DataFrame, share: float = fixed.TRAIN_SHARE) -> DataFrame:
-    """The same split as one table with a `split` column, in a single plan."""
-    cutoff = date_cutoff(df, share).select("cutoff")
-    return df.filter(F.col(fixed.DATE).isNotNull()).withColumn(
-        "split",
-        F.when(F.col(fixed.DATE) < cutoff.scalar(), F.lit("train")).otherwise(F.lit("test")),
-    )
+    return df.filter(F.col(fixed.DATE) < cutoff), df.filter(F.col(fixed.DATE) >= cutoff)
 
 
 # --- pipeline --------------------------------------------------------------------------

@@ -104,14 +104,38 @@ def row_counts(spark, sf):
     return split.groupBy("split").agg(F.count("*").alias("rows"))
 
 
-@query("random_split_fallback")
+# eight hexadecimal digits of a hash, as a number
+_DIGITS_SQL = "CAST('0x' || substr(md5('{seed}|' || {text}), 1, 8) AS BIGINT)"
+_SHARE = int(fixed.TRAIN_SHARE * 2**32)
+
+
+@query(
+    "random_split_fallback",
+    f"""SELECT o_orderkey, CASE WHEN {_DIGITS_SQL.format(seed=fixed.SPLIT_SEED, text="CAST(o_orderkey AS VARCHAR)")}
+               < {_SHARE} THEN 'train' ELSE 'test' END AS split FROM orders""",
+)
 def random_split_fallback(spark, sf):
-    """Sizes of the two sides of a random split."""
-    orders = views.table(spark, sf, "orders")
+    """The side of each row in a random split."""
+    orders = views.table(spark, sf, "orders").select("o_orderkey")
     side = training.random_side(orders.columns)
-    return orders.groupBy(
-        F.when(side, F.lit("train")).otherwise(F.lit("test")).alias("split")
-    ).agg(F.count("*").alias("rows"))
+    return orders.select("o_orderkey", F.when(side, "train").otherwise("test").alias("split"))
+
+
+@query(
+    "split_few_dates",
+    f"""SELECT o_orderkey, date, CASE WHEN {_DIGITS_SQL.format(
+            seed=fixed.SPLIT_SEED, text="CAST(o_orderkey AS VARCHAR) || '|' || coalesce(CAST(date AS VARCHAR), '')")}
+               < {_SHARE} THEN 'train' ELSE 'test' END AS split
+        FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 4 > 0
+                THEN DATE '2025-01-01' + CAST(o_orderkey % 4 AS INTEGER) END AS date FROM orders)""",
+)
+def split_few_dates(spark, sf):
+    """Three dates and rows without one: too few to split by date."""
+    day = F.date_add(F.lit("2025-01-01").cast("date"), (F.col("o_orderkey") % 4).cast("int"))
+    rows = views.table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 4 > 0, day).alias("date")
+    )
+    return training.label_split(rows)
 
 
 RANK_SQL = """SELECT label, n, row_number() OVER (ORDER BY n DESC, label) - 1

@@ -24,5 +24,5 @@ def test_contract(spark):
     assert len(entry.entry(spark).take(1)) == 1
     assert set(catalog.QUERIES) <= set(entry.queries())
     assert {n for n in catalog.QUERIES if n not in catalog.SQL} == {
-        "random_split_fallback", "regression_train_score",
+        "regression_train_score",
     }
