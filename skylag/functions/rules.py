@@ -29,16 +29,25 @@ def shadowed_terms(rules: Rules = fixed.STATION_RULES) -> list[tuple[str, str]]:
 
 
 def specific_first(rules: Rules = fixed.STATION_RULES) -> Rules:
-    """Same rules, each shadowed one moved to just before the rule that shadows it."""
+    """Same rules, each shadowed term moved to just before the rule that shadows it.
+
+    Other terms of its rule stay where they are.
+    """
     ordered: list[tuple[str, tuple[str, ...]]] = []
     for result, terms in rules:
-        spots = [
-            spot
-            for spot, (early_result, early_terms) in enumerate(ordered)
-            if early_result != result
-            and any(early in term for term in terms for early in early_terms)
-        ]
-        ordered.insert(spots[0] if spots else len(ordered), (result, terms))
+        staying = []
+        for term in terms:
+            spots = [
+                spot
+                for spot, (early_result, early_terms) in enumerate(ordered)
+                if early_result != result and any(early in term for early in early_terms)
+            ]
+            if spots:
+                ordered.insert(spots[0], (result, (term,)))
+            else:
+                staying.append(term)
+        if staying:
+            ordered.append((result, tuple(staying)))
     return tuple(ordered)
 
 
