@@ -9,6 +9,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skylag import fixed, schemas
 from skylag.ml import training
@@ -69,11 +70,29 @@ def model(spark: SparkSession, out: str, **options) -> training.Trained:
     return trained
 
 
-def run(spark: SparkSession, step: str, flights: list[str], weather_path: str, out: str) -> None:
+BAD_LINE = "bad_line"
+
+
+def good_rows(rows: DataFrame, out: str, name: str) -> DataFrame:
+    """The rows without their bad lines, which become a table of their own and are counted."""
+    if BAD_LINE not in rows.columns:
+        return rows
+    bad = _save(rows.filter(F.isnotnull(BAD_LINE)).select(BAD_LINE), out, f"{name}_{BAD_LINE}s")
+    print(f"{name}: {bad.count()} bad lines left out")
+    return rows.filter(F.isnull(BAD_LINE)).drop(BAD_LINE)
+
+
+def run(
+    spark: SparkSession, step: str, flights: list[str], weather_path: str, out: str,
+    keep_bad_lines: bool = False,
+) -> None:
+    options = {"bad_lines": BAD_LINE} if keep_bad_lines else {}
     if step in ("all", "delays"):
-        delay_tables(files.scan_yearly(spark, flights, schemas.DELAY_FACTS), out)
+        facts = files.scan_yearly(spark, flights, schemas.DELAY_FACTS, **options)
+        delay_tables(good_rows(facts, out, "flights"), out)
     if step in ("all", "weather"):
-        weather_tables(files.scan_csv(spark, weather_path, schemas.HOURLY_WEATHER), out)
+        hours = files.scan_csv(spark, weather_path, schemas.HOURLY_WEATHER, **options)
+        weather_tables(good_rows(hours, out, "weather"), out)
     if step in ("all", "features"):
         built = feature_table(spark, out)
         features.match_quality(built).show(truncate=False)
@@ -89,8 +108,15 @@ def main() -> None:
     parser.add_argument("--flights", nargs="*", default=[], help="yearly CSV files or patterns")
     parser.add_argument("--weather", default="", help="hourly weather CSV")
     parser.add_argument("--out", required=True, help="folder of the result tables")
+    parser.add_argument(
+        "--keep-bad-lines", action="store_true",
+        help="put lines that do not parse into tables of their own instead of failing",
+    )
     args = parser.parse_args()
-    run(build_session("skylag-batch"), args.step, args.flights, args.weather, args.out)
+    run(
+        build_session("skylag-batch"), args.step, args.flights, args.weather, args.out,
+        args.keep_bad_lines,
+    )
 
 
 if __name__ == "__main__":

@@ -38,6 +38,29 @@ def csv_scan_typed(spark, sf):
     return files.scan_csv(spark, path, lines.schema)
 
 
+@query(
+    "csv_bad_lines",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 97 <> 5 THEN o_custkey END AS o_custkey,
+              CASE WHEN o_orderkey % 89 <> 3 THEN o_totalprice END AS o_totalprice,
+              o_orderkey % 97 = 5 OR o_orderkey % 89 = 3 AS bad
+       FROM orders""",
+)
+def csv_bad_lines(spark, sf):
+    """Damaged cells: good rows and bad lines both come back. A zero fraction is no damage."""
+    key = F.col("o_orderkey")
+    cells = views.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.concat(F.when(key % 97 == 5, "x").otherwise(""), "o_custkey", F.when(key % 2 == 0, ".0").otherwise(""))
+        .alias("o_custkey"),
+        F.when(key % 89 == 3, "7-5").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+    )
+    path = work_path(spark, "damaged")
+    files.write_csv(cells, path)
+    schema = T.StructType([ORDERS["o_orderkey"], ORDERS["o_custkey"], ORDERS["o_totalprice"]])
+    rows = files.scan_csv(spark, path, schema, bad_lines="bad_line")
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice", F.isnotnull("bad_line").alias("bad"))
+
+
 @query("bz2_csv_scan", ALL_ORDERS)
 def bz2_csv_scan(spark, sf):
     path = work_path(spark, "bz2")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,30 @@ def _header(spark: SparkSession, path: str) -> tuple[list[str], bool]:
     return names, names == list(first)
 
 
+def _whole_number(cell: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """(value, whether the cell is not a whole number); `12.0` is one."""
+    plain = cell.try_cast(kind)
+    real = cell.try_cast("double")
+    # above 2**53 a double no longer tells neighbouring whole numbers apart
+    exact = (real == F.floor(real)) & (F.abs(real) < 2.0**53)
+    value = F.coalesce(plain, F.when(exact, real.try_cast(kind)))
+    return value, F.isnotnull(cell) & (F.trim(cell) != "") & F.isnull(value)
+
+
 def scan_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None, **options
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None,
+    bad_lines: str | None = None,
+    **options,
 ) -> DataFrame:
     """CSV with a header, plain or compressed (.gz, .bz2), under a declared schema.
 
     Only the header line is read up front. Columns are matched by name, so their order in
     the file does not matter; a declared column the file lacks is null, others are left out.
+    A cell that does not parse, or a line with too few cells, ends the read with an error. With
+    `bad_lines`, such cells are null instead, and a column of that name keeps the line; it is null
+    for all good lines. Whole numbers may be written with a zero fraction.
     Without a schema, Spark infers one, which reads every file twice.
     """
     reader = spark.read.options(**CSV_OPTIONS, **options)
@@ -49,24 +67,50 @@ def scan_csv(
         return reader.option("inferSchema", True).csv(path)
     header, as_in_file = _header(spark, path)
     if not header:
-        return spark.createDataFrame([], schema)
-    declared = {f.name: f for f in schema.fields}
+        empty = T.StructType(list(schema.fields))
+        return spark.createDataFrame([], empty.add(bad_lines, "string") if bad_lines else empty)
+    whole = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+    declared = {
+        f.name: T.StructField(f.name, T.StringType()) if isinstance(f.dataType, whole) else f
+        for f in schema.fields
+    }
     in_file = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in header])
+    if bad_lines:
+        in_file = in_file.add(bad_lines, "string")
+        reader = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=bad_lines)
+        # the line is known only if all its cells are parsed
+        as_in_file = False
+    else:
+        reader = reader.option("mode", "FAILFAST")
     # Every file of the path must have this header, or the read fails instead of mixing columns.
     # Names that occur twice or are empty cannot be compared.
     rows = (
         reader.options(emptyValue=_EMPTY, enforceSchema=not as_in_file).schema(in_file).csv(path)
     )
+    faults: list[Column] = []
 
     def column(field: T.StructField) -> Column:
         if field.name not in header:
             return F.lit(None).cast(field.dataType).alias(field.name)
         cell = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, whole):
+            cell = F.when(cell != _EMPTY, cell)
+            value, bad = _whole_number(cell, field.dataType)
+            if bad_lines:
+                faults.append(bad)
+                return value.alias(field.name)
+            fault = F.raise_error(F.concat(F.lit(f"not a whole number in {field.name}: "), cell))
+            return F.when(bad, fault.cast(field.dataType)).otherwise(value).alias(field.name)
         if not isinstance(field.dataType, T.StringType):
             return cell
         return F.when(cell == _EMPTY, F.lit("")).otherwise(cell).alias(field.name)
 
-    return rows.select(*[column(f) for f in schema.fields])
+    columns = [column(f) for f in schema.fields]
+    if bad_lines:
+        line = F.concat_ws(",", *[F.col(f"`{n}`").cast("string") for n in header])
+        found = F.coalesce(F.col(bad_lines), F.when(reduce(or_, faults, F.lit(False)), line))
+        columns.append(found.alias(bad_lines))
+    return rows.select(*columns)
 
 
 def scan_yearly(spark: SparkSession, paths: list[str], schema: T.StructType, **options):

@@ -191,3 +191,24 @@ def test_topic_options():
 def test_schemas_match_fixed_names():
     assert [f.name for f in schemas.HOURLY_WEATHER.fields][5:] == list(fixed.HOURLY_METRICS)
     assert len(schemas.DELAY_FACTS.fields) == 23 and len(schemas.METAR_EVENT.fields) == 23
+
+
+def test_bad_cells_fail_unless_they_are_asked_for(spark, tmp_path):
+    from skylag import schemas
+
+    def read(line, **options):
+        path = tmp_path / f"f{abs(hash(line))}.csv"
+        path.write_text(f"FLT_DATE,ENTITY_NAME,FLT_ERT_1,DLY_ERT_1\n{line}\n")
+        return files.scan_csv(spark, str(path), schemas.DELAY_FACTS, **options).collect()[0]
+
+    assert read("2025-02-01T00:00:00,A,12.0,3").FLT_ERT_1 == 12
+    assert read("2025-02-01T00:00:00,A,,3").FLT_ERT_1 is None
+    for line in (
+        "2025-02-01T00:00:00,A,12,x7", "01-FEB-25,A,12,7", "2025-02-01T00:00:00,A,12.5,7",
+        "2025-02-01T00:00:00,A,many,7", "2025-02-01T00:00:00,A",
+    ):
+        with pytest.raises(Exception):
+            read(line)
+        row = read(line, bad_lines="bad")
+        assert row.bad is not None and "A" in row.bad
+    assert read("2025-02-01T00:00:00,A,12,7", bad_lines="bad").bad is None
