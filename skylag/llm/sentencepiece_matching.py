@@ -14,6 +14,7 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skylag.llm.common import list_column, text_of
+from skylag.llm.common import list_column, portions, text_of
 from skylag.llm.registry import documents, query
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -30,7 +31,9 @@ _NEVER = 1 << 30
 _BYTES = 3  # the 256 byte pieces follow the three special ones
 # tokens of remembered units, after which a task forgets them and starts anew; characters of new
 # units that share a suffix array
-REMEMBERED, ARRAY_CHARS = 3_000_000, 400_000
+REMEMBERED, ARRAY_CHARS = 2_000_000, 400_000
+# bytes of text whose units are held at once
+PORTION = 6 << 20
 
 
 def load_pieces(model_file: str = MODEL) -> list[tuple[str, float, bool]]:
@@ -228,31 +231,35 @@ class Vocabulary:
         at = np.arange(int(counts.sum())) + np.repeat(low - (ends - counts), counts)
         return suffixes[at], np.repeat(self.piece_ids, counts)
 
-    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all units, one after another, and where each unit's end."""
-        plain = [i for i, u in enumerate(units) if not u.startswith(SPACE * 2)]
-        out: list[list[int]] = [[]] * len(units)
-        sizes = np.cumsum([len(units[i]) for i in plain])
+    def encode_units(self, units: list[str], plain: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, one after another, and where each unit's end.
+
+        The first `plain` units begin with one mark of a blank at most.
+        """
+        ids, sizes = [], []
+        chars = np.cumsum([len(u) for u in units[:plain]])
         first = 0
-        while first < len(plain):
-            done = sizes[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(sizes, done + ARRAY_CHARS, "right")))
-            ids, ends = self._relaxed([units[i] for i in plain[first:last]])
-            starts = np.concatenate(([0], ends[:-1]))
-            for i, a, b in zip(plain[first:last], starts.tolist(), ends.tolist()):
-                out[i] = ids[a:b]
+        while first < plain:
+            done = chars[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(chars, done + ARRAY_CHARS, "right")))
+            some, counts = self._relaxed(units[first:last])
+            ids.append(some)
+            sizes.append(counts)
             first = last
         # pieces of blanks alone all have one score, so their order depends on the place
-        for i, unit in enumerate(units):
-            if unit.startswith(SPACE * 2):
-                out[i] = [
-                    t for s in merge(list(unit), self.order)[0]
-                    for t in ([self.ids[s]] if s in self.ids else [b + _BYTES for b in s.encode()])
-                ]
-        ends = np.cumsum([len(x) for x in out])
-        return np.fromiter((t for x in out for t in x), np.int32, int(ends[-1]) if len(ends) else 0), ends
-
-    def _relaxed(self, units: list[str]) -> tuple[list[int], np.ndarray]:
+        for unit in units[plain:]:
+            some = [
+                t for s in merge(list(unit), self.order)[0]
+                for t in ([self.ids[s]] if s in self.ids else [b + _BYTES for b in s.encode()])
+            ]
+            ids.append(np.array(some, np.int32))
+            sizes.append(np.array([len(some)]))
+        if not ids:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        return np.concatenate(ids).astype(np.int32), np.cumsum(np.concatenate(sizes))
+
+    def _relaxed(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the units, and how many each has."""
         codes = np.frombuffer(("\0".join(units) + "\0").encode("utf-32-le", "surrogatepass"), np.int32)
         lengths = np.array([len(u) for u in units])
         first = np.cumsum(lengths + 1) - lengths - 1
@@ -270,7 +277,7 @@ class Vocabulary:
         end = start + length
         # edges by the place of their end, in layers of equal distance from their unit's start
         layer = offset[start] + length
-        order = np.lexsort((-length, end, layer))
+        order = np.argsort((layer * (n + 1) + end) * (self.width + 1) + (self.width - length))
         start, piece, end, layer = start[order], piece[order], end[order], layer[order]
         group = np.flatnonzero(np.diff(end, prepend=-1))
         group_end = np.append(group[1:], len(end))
@@ -301,22 +308,19 @@ class Vocabulary:
             steps.append((unit, token, place))
             place = place - self.length_of[token]
         if not steps:
-            return [], np.zeros(len(units), np.int64)
-        unit = np.concatenate([s[0] for s in steps])
-        token = np.concatenate([s[1] for s in steps])
-        place = np.concatenate([s[2] for s in steps])
+            return np.zeros(0, np.int32), np.zeros(len(units), np.int64)
+        unit, token, place = (np.concatenate(c) for c in zip(*steps))
         order = np.argsort(place, kind="stable")
         unit, token, place = unit[order], token[order], place[order]
         strange = np.flatnonzero(token == self.unknown)
         if not len(strange):
-            return token.tolist(), np.cumsum(np.bincount(unit, minlength=len(units)))
-        ids, sizes = token.tolist(), np.ones(len(token), np.int64)
-        spelled: list[list[int]] = [[t] for t in ids]
+            return token, np.bincount(unit, minlength=len(units))
+        sizes = np.ones(len(token), np.int64)
+        spelled: list[list[int]] = [[t] for t in token.tolist()]
         for i in strange.tolist():
             spelled[i] = [b + _BYTES for b in chr(codes[place[i] - 1]).encode("utf-8", "surrogatepass")]
             sizes[i] = len(spelled[i])
-        ends = np.cumsum(np.bincount(unit, sizes, len(units)).astype(np.int64))
-        return [t for s in spelled for t in s], ends
+        return np.array([t for s in spelled for t in s]), np.bincount(unit, sizes, len(units)).astype(np.int64)
 
     def split(self, text: str) -> list[str]:
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -344,15 +348,17 @@ class Encoder:
         if len(self.flat) > REMEMBERED:
             self.forget()
         split = [self.vocabulary.split(t) for t in texts]
-        new = sorted(set().union(*split) - self.place.keys()) if split else []
+        new = set().union(*split) - self.place.keys() if split else ()
         if new:
-            ids, ends = self.vocabulary.encode_units(new)
+            blank = [u for u in new if u.startswith(SPACE * 2)]
+            new = [*(new.difference(blank) if blank else new), *blank]
+            ids, ends = self.vocabulary.encode_units(new, len(new) - len(blank))
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
             self.ends = np.concatenate((self.ends, ends + len(self.flat)))
             self.flat = np.concatenate((self.flat, ids))
         counts = np.array([len(s) for s in split], np.int64)
-        get = self.place.__getitem__
-        unit = np.fromiter((i for s in split for i in map(get, s)), np.int64, int(counts.sum()))
+        found = map(self.place.__getitem__, chain.from_iterable(split))
+        unit = np.fromiter(found, np.int64, int(counts.sum()))
         starts = np.concatenate(([0], self.ends[:-1])) if len(self.ends) else self.ends
         sizes = self.ends[unit] - starts[unit]
         ends = np.cumsum(sizes)
@@ -390,7 +396,7 @@ def encode(docs: DataFrame, text_col: str = "text", model_file: str = MODEL,
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(_vocabulary(pieces))
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole, text_col, PORTION)):
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
             ids, ends = encoder.encode(texts)
             columns = [*(batch.column(n) for n in names), list_column(ids, ends, pa.int32())]
