@@ -20,7 +20,7 @@ from skylag import fixed, schemas
 from skylag.functions import text
 from skylag.operators import feeds, weather
 from skylag.session import build_session
-from skylag.sources import files, kafka
+from skylag.sources import archives, files, kafka
 from skylag.streaming import jobs, runs
 
 WEATHER, DELAYS = "weather", "delays"
@@ -53,7 +53,7 @@ def boards_out(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_log_out(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.event_log_messages(files.tsv_records(spark.readStream.text(folder)))
+    return feeds.event_log_messages(files.tsv_records(archives.event_log_lines(spark, folder, stream=True)))
 
 
 PUBLISHED = {

@@ -12,7 +12,7 @@ from skylag.plans import sql_views as sv
 from skylag.plans import views
 from skylag.plans.registry import query
 from skylag.session import work_path, written
-from skylag.sources import files, stations
+from skylag.sources import archives, files, stations
 from skylag.streaming.jobs import board_lines
 
 ORDERS = T.StructType(
@@ -234,7 +234,7 @@ def _event_log(spark, sf):
     path = work_path(spark, "tsv")
     lines = views.event_log_lines(views.events(spark, sf))
     lines.write.text(path, compression="gzip")
-    return files.scan_tsv(spark, path)
+    return archives.scan_event_log(spark, path)
 
 
 @query("tsv61_scan", f"{TSV_SQL} SELECT * FROM log")

@@ -112,10 +112,20 @@ def test_tsv_plain_gz_zip(spark, tmp_path):
     (tmp_path / "a.csv.gz").write_bytes(gzip.compress(body))
     with zipfile.ZipFile(tmp_path / "a.csv.zip", "w") as archive:
         archive.writestr("first.csv", body)
-        archive.writestr("second.csv", "\t".join(cells(_0="no")))
     check(files.scan_tsv(spark, str(tmp_path / "a.csv")).collect())
     check(files.scan_tsv(spark, str(tmp_path / "a.csv.gz")).collect())
     check(archives.scan_tsv_zip(spark, str(tmp_path / "a.csv.zip")).collect())
+    one = len(files.scan_tsv(spark, str(tmp_path / "a.csv")).collect())
+    assert archives.scan_event_log(spark, str(tmp_path)).count() == 3 * one
+    with zipfile.ZipFile(tmp_path / "b.ZIP", "w") as archive:
+        archive.writestr("first.csv", body)
+        archive.writestr("second.csv", "\t".join(cells(_0="no")))
+    with pytest.raises(Exception, match="2 members"):
+        archives.scan_event_log(spark, str(tmp_path)).count()
+    assert archives.scan_event_log(spark, str(tmp_path), first_only=True).count() == 4 * one
+    (tmp_path / "c.rar").write_bytes(b"x")
+    with pytest.raises(ValueError, match="c.rar"):
+        archives.scan_event_log(spark, str(tmp_path))
 
 
 def test_bad_utf8_is_ignored(spark, tmp_path):
@@ -212,3 +222,51 @@ def test_bad_cells_fail_unless_they_are_asked_for(spark, tmp_path):
         row = read(line, bad_lines="bad")
         assert row.bad is not None and "A" in row.bad
     assert read("2025-02-01T00:00:00,A,12,7", bad_lines="bad").bad is None
+
+
+def test_event_log_stream_reads_all_kinds(spark, tmp_path):
+    from skylag.plans import live
+    from skylag.streaming import runs
+
+    body = ("\n".join(LINES) + "\n").encode()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv.gz").write_bytes(gzip.compress(body))
+    with zipfile.ZipFile(tmp_path / "in" / "b.CSV.zip", "w") as archive:
+        archive.writestr("first.csv", body)
+    one = files.tsv_records(spark.createDataFrame([(x,) for x in LINES], "value string")).count()
+    assert runs.run_bounded(live.event_log_out(spark, str(tmp_path / "in"))).count() == 2 * one
+
+
+def test_zip_code_needs_no_package_on_the_workers(tmp_path):
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "code").write_bytes(cloudpickle.dumps(archives._unpack(False)))
+    code = "import pickle; assert list(pickle.load(open('code', 'rb'))([])) == []"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": ""})
+
+
+def test_batch_job_starts_from_another_folder(tmp_path):
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = Path(__file__).resolve().parents[1]
+    with zipfile.ZipFile(tmp_path / "skylag.zip", "w") as archive:
+        for file in (repo / "skylag").rglob("*.py"):
+            archive.write(file, file.relative_to(repo))
+    names = schemas.DELAY_FACTS.fieldNames()
+    values = {"FLT_DATE": "2025-02-01T00:00:00", "ENTITY_NAME": "Poland", "ENTITY_TYPE": "x", "FLT_ERT_1": "12.0"}
+    (tmp_path / "f.csv").write_text(",".join(names) + "\n" + ",".join(values.get(n, "1") for n in names) + "\n")
+    import pyspark
+
+    submit = Path(pyspark.__file__).parent / "bin" / "spark-submit"
+    done = subprocess.run(
+        [str(submit), "--master", "local[2]", "--conf", "spark.ui.enabled=false", "--py-files", "skylag.zip",
+         str(repo / "bin" / "batch.py"), "delays", "--flights", "f.csv", "--out", "out"],
+        cwd=tmp_path, capture_output=True, text=True, timeout=240,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert (tmp_path / "out" / "daily_delays" / "_SUCCESS").exists()
