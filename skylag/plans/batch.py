@@ -1,12 +1,13 @@
 """The batch jobs from raw files to a scored model. Each one reads and writes tables.
 
-    spark-submit -m skylag.plans.batch all --flights 'raw/flights/*.csv.bz2' \
+    spark-submit --py-files skylag.zip bin/batch.py all --flights 'raw/flights/*.csv.bz2' \
         --weather raw/weather.csv --out warehouse
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,23 +22,37 @@ DAILY, MONTHLY, ENTITY = "daily_delays", "monthly_delays", "entity_delays"
 HOURLY, STATION_DAY, REGION_DAY = (
     "weather_hourly_features", "weather_daily", "weather_europe_daily",
 )
+STATION_HOUR = "station_hours"
 FEATURES, MODEL = "daily_features", "delay_regression"
+# partition column of the dated tables; readers get the tables without it
+YEAR = "table_year"
 
 
-def _table(spark: SparkSession, out: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{out.rstrip('/')}/{name}")
+def read_table(
+    spark: SparkSession, out: str, name: str, first: date | None = None, last: date | None = None
+) -> DataFrame:
+    """A table of the batch job. With dates, only the years between them are opened."""
+    rows = spark.read.parquet(f"{out.rstrip('/')}/{name}")
+    if first is not None:
+        rows = rows.filter((F.col(YEAR) >= first.year) & (F.col(fixed.DATE) >= F.lit(first)))
+    if last is not None:
+        rows = rows.filter((F.col(YEAR) <= last.year) & (F.col(fixed.DATE) <= F.lit(last)))
+    return rows.drop(YEAR)
 
 
-def _save(df: DataFrame, out: str, name: str, order: tuple[str, ...] = ()) -> DataFrame:
-    """Replace a table and read it back. Rows are ordered inside each file only, which needs no
-    shuffle and lets a later filter on the first column skip parts of files."""
-    files.replace_parquet(df.sortWithinPartitions(*order) if order else df, f"{out.rstrip('/')}/{name}")
-    return _table(df.sparkSession, out, name)
+def _save(df: DataFrame, out: str, name: str, by_year: bool = False) -> DataFrame:
+    """Replace a table, or those of its years that `df` has, and read it back."""
+    path = f"{out.rstrip('/')}/{name}"
+    if by_year:
+        files.replace_parquet(df.withColumn(YEAR, F.year(fixed.DATE)), path, (YEAR,))
+    else:
+        files.replace_parquet(df, path)
+    return read_table(df.sparkSession, out, name)
 
 
 def delay_tables(facts: DataFrame, out: str) -> dict[str, DataFrame]:
     """Day, month and entity delays. The facts are read once: the other two come from the days."""
-    daily = _save(delays.daily(delays.prepare_facts(facts)), out, DAILY, ("date",))
+    daily = _save(delays.daily(delays.prepare_facts(facts)), out, DAILY, by_year=True)
     return {
         DAILY: daily,
         MONTHLY: _save(delays.monthly_from_daily(daily), out, MONTHLY),
@@ -48,24 +63,25 @@ def delay_tables(facts: DataFrame, out: str) -> dict[str, DataFrame]:
 def weather_tables(hourly: DataFrame, out: str) -> dict[str, DataFrame]:
     """Keyed hours, station days and region days. Raw text is parsed once."""
     keyed = _save(weather.hourly_keyed(hourly), out, HOURLY)
-    station_days = _save(weather.station_day(keyed), out, STATION_DAY, ("date",))
+    station_days = _save(weather.station_day(keyed), out, STATION_DAY, by_year=True)
     return {
         HOURLY: keyed,
         STATION_DAY: station_days,
         REGION_DAY: _save(weather.region_day(station_days), out, REGION_DAY),
+        STATION_HOUR: _save(weather.station_hour(keyed), out, STATION_HOUR, by_year=True),
     }
 
 
 def feature_table(spark: SparkSession, out: str, rules=fixed.STATION_RULES, **options):
-    station_days = checks.assert_unique(_table(spark, out, STATION_DAY), "icao", "date")
+    station_days = checks.assert_unique(read_table(spark, out, STATION_DAY), "icao", "date")
     built = features.build_features(
-        _table(spark, out, DAILY), station_days, _table(spark, out, REGION_DAY), rules, **options
+        read_table(spark, out, DAILY), station_days, read_table(spark, out, REGION_DAY), rules, **options
     )
-    return _save(built, out, FEATURES, ("date",))
+    return _save(built, out, FEATURES, by_year=True)
 
 
 def model(spark: SparkSession, out: str, **options) -> training.Trained:
-    trained = training.train_and_score(_table(spark, out, FEATURES), **options)
+    trained = training.train_and_score(read_table(spark, out, FEATURES), **options)
     training.save_model(trained.model, f"{out.rstrip('/')}/{MODEL}")
     return trained
 

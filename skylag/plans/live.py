@@ -1,8 +1,8 @@
 """The streaming jobs between landed files, topics and tables.
 
-    spark-submit --packages <Kafka package> -m skylag.plans.live publish weather \
+    spark-submit --packages <Kafka package> --py-files skylag.zip bin/live.py publish weather \
         --servers host:9092 --input landing/metar
-    spark-submit ... -m skylag.plans.live enrich --servers host:9092 --weather warehouse/hourly \
+    spark-submit ... bin/live.py enrich --servers host:9092 --weather warehouse \
         --out warehouse/observations
 
 Files land in a folder and are published to topics; topics are shown, saved or enriched. Each
@@ -19,24 +19,27 @@ from pyspark.sql import functions as F
 from skylag import fixed, schemas
 from skylag.functions import text
 from skylag.operators import feeds, weather
+from skylag.plans import batch
 from skylag.session import build_session
 from skylag.sources import archives, files, kafka
 from skylag.streaming import jobs, runs
 
 WEATHER, DELAYS = "weather", "delays"
+# copies of one observation are first reduced in so many groups
+SALTS = 16
 
 
 # --- landed files to messages -----------------------------------------------------------------
 
 
-def weather_out(spark: SparkSession, folder: str) -> DataFrame:
+def weather_out(spark: SparkSession, folder: str, salts: int = SALTS) -> DataFrame:
     """METAR CSV files to messages, an observation that polls repeat only once."""
     documents = spark.readStream.text(folder, wholetext=True)
     events = feeds.metar_events(feeds.metar_records(documents))
     # Keys expire by arrival time: a poll repeats an observation within the look-back, and no
     # observation is late, however old its own time is or whether it can be read at all.
     arrived = events.withColumn("_arrived", F.current_timestamp())
-    fresh = jobs.drop_repeats(arrived, "station_id", "observation_time", ts="_arrived")
+    fresh = jobs.drop_repeats(arrived, "station_id", "observation_time", ts="_arrived", salts=salts)
     return feeds.weather_messages(fresh.drop("_arrived"))
 
 
@@ -86,30 +89,71 @@ def enriched(messages: DataFrame, hourly: DataFrame, salts: int = 1) -> DataFram
     return jobs.join_hourly_weather(observed, weather.station_hour(hourly), salts)
 
 
+def enrich_batch(out: str, tables: str):
+    """Writes one batch of weather messages with the weather of their stations' hours.
+
+    The table is opened anew for each batch, so a batch sees what the batch job has replaced since,
+    and reads only the years of its own dates. It is an ordinary join, so AQE splits a hot station
+    hour. A batch that is repeated after a failure replaces its own folder.
+    """
+
+    def write(messages: DataFrame, batch_id: int) -> None:
+        spark = messages.sparkSession
+        observed = feeds.metar_typed(feeds.decode_json(messages, schemas.METAR_EVENT))
+        days = observed.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
+        hours = batch.read_table(spark, tables, batch.STATION_HOUR, days["first"], days["last"])
+        if days["first"] is None:
+            hours = hours.limit(0)
+        joined = jobs.join_hourly_weather(observed, hours)
+        joined.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
+
+    return write
+
+
+def enrich(messages: DataFrame, out: str, tables: str, checkpoint: str, **trigger):
+    return (
+        messages.writeStream.foreachBatch(enrich_batch(out, tables))
+        .option("checkpointLocation", checkpoint).trigger(**(trigger or runs.POLL)).start()
+    )
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(description="Streaming jobs")
     parser.add_argument("job", choices=["publish", "show", "save", "enrich"])
     parser.add_argument("feed", nargs="?", default="weather", choices=sorted({*PUBLISHED, *SHOWN}))
     parser.add_argument("--servers", required=True)
     parser.add_argument("--input", help="landing folder of publish")
-    parser.add_argument("--weather", help="hourly weather table of enrich")
+    parser.add_argument("--weather", help="folder of the batch job's tables, for enrich")
     parser.add_argument("--out", help="result folder of save and enrich")
     parser.add_argument("--checkpoint", help="folder that keeps the job's position")
+    parser.add_argument("--max-per-trigger", type=int, default=0, help="messages of one batch at most")
+    parser.add_argument("--salts", type=int, default=SALTS, help="groups that reduce copies first")
+    parser.add_argument("--state-partitions", type=int, default=200,
+                        help="tasks of a stateful step, fixed for the life of a checkpoint")
     args = parser.parse_args()
-    spark = build_session(f"skylag-{args.job}-{args.feed}")
-    checkpoint = args.checkpoint or f"{spark.conf.get('spark.checkpoint.dir')}/{args.job}-{args.feed}"
+    spark = build_session(
+        f"skylag-{args.job}-{args.feed}", **{"spark.sql.shuffle.partitions": str(args.state_partitions)}
+    )
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not (args.checkpoint or base):
+        parser.error("set spark.checkpoint.dir or --checkpoint")
+    checkpoint = args.checkpoint or f"{base}/{args.job}-{args.feed}"
     if args.job == "publish":
-        query = kafka.write_topics(PUBLISHED[args.feed](spark, args.input), args.servers, checkpoint)
+        query = kafka.write_topics(
+            PUBLISHED[args.feed](spark, args.input, **({"salts": args.salts} if args.feed == "weather" else {})),
+            args.servers, checkpoint,
+        )
     elif args.job == "show":
         topics, starting, lines = SHOWN[args.feed]
         query = runs.console(lines(kafka.read_topics(spark, args.servers, topics, starting=starting)))
     elif args.job == "save":
-        rows = delay_records(kafka.read_topics(spark, args.servers, (DELAYS,)))
+        rows = delay_records(kafka.read_topics(spark, args.servers, (DELAYS,), max_per_trigger=args.max_per_trigger))
         query = runs.start(rows, args.out, checkpoint, "csv")
     else:
-        messages = kafka.read_topics(spark, args.servers, (WEATHER,))
-        rows = enriched(messages, spark.read.parquet(args.weather))
-        query = runs.start(rows, args.out, checkpoint)
+        messages = kafka.read_topics(
+            spark, args.servers, (WEATHER,), max_per_trigger=args.max_per_trigger
+        )
+        query = enrich(messages, args.out, args.weather, checkpoint)
     query.awaitTermination()
 
 

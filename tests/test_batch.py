@@ -44,9 +44,45 @@ def test_all_steps(spark, path, capsys):
             for n in (batch.DAILY, batch.MONTHLY, batch.ENTITY, batch.HOURLY, batch.STATION_DAY, batch.REGION_DAY)}
     assert rows == {batch.DAILY: 180, batch.MONTHLY: 2, batch.ENTITY: 3, batch.HOURLY: 1920,
                     batch.STATION_DAY: 80, batch.REGION_DAY: 40}
-    built = spark.read.parquet(f"{path}/out/{batch.FEATURES}")
+    built = batch.read_table(spark, f"{path}/out", batch.FEATURES)
     levels = {r[0]: r[1] for r in built.groupBy("weather_match_level").count().collect()}
     assert levels == {"entity_station": 40, "station_missing_weather": 80, "europe_fallback": 60}
     model = training.load_model(f"{path}/out/{batch.MODEL}")
     scored = model.transform(training.training_frame(built))
     assert scored.filter("prediction IS NULL").count() == 0
+
+
+def test_a_failed_job_leaves_the_old_table(spark, path):
+    import pytest
+
+    files.replace_parquet(spark.range(5), f"{path}/t")
+    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        files.replace_parquet(broken, f"{path}/t")
+    assert spark.read.parquet(f"{path}/t").count() == 5
+    files.replace_parquet(spark.range(7), f"{path}/t")
+    assert spark.read.parquet(f"{path}/t").count() == 7
+
+
+def test_dated_tables_are_read_by_year(spark, path):
+    from datetime import date
+
+    rows = spark.range(800).select(F.date_add(F.lit(date(2024, 6, 1)), F.col("id").cast("int")).alias("date"), "id")
+    batch._save(rows, path, "t", by_year=True)
+    later = rows.filter("year(date) = 2025").withColumn("id", -F.col("id"))
+    assert batch._save(later, path, "t", by_year=True).count() == 800
+    part = batch.read_table(spark, path, "t", date(2025, 3, 1), date(2025, 3, 31))
+    assert part.count() == 31 and part.filter("id > 0").count() == 0 and part.columns == ["date", "id"]
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(table_year" in plan
+
+
+def test_bad_lines_become_a_table(spark, path, capsys):
+    flights, _ = raw_files(spark, path)
+    with open(f"{path}/more.csv", "w") as handle:
+        handle.write("FLT_DATE,ENTITY_NAME,ENTITY_TYPE,FLT_ERT_1,DLY_ERT_1\n2026-03-01T00:00:00,DFS,ANSP,2,x7\n"
+                     "2026-03-02T00:00:00,DFS,ANSP,2,7\n")
+    batch.run(spark, "delays", [*flights, f"{path}/more.csv"], "", f"{path}/out", keep_bad_lines=True)
+    assert "flights: 1 bad lines left out" in capsys.readouterr().out
+    assert batch.read_table(spark, f"{path}/out", batch.DAILY).count() == 181
+    assert "x7" in spark.read.parquet(f"{path}/out/flights_bad_lines").first().bad_line

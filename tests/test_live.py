@@ -1,5 +1,5 @@
 import json
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -125,3 +125,32 @@ def test_files_with_another_header_are_refused(spark, tmp_path):
 def test_payload_text_column_name(spark):
     df = spark.createDataFrame([('{"data": [{"flight_number": "7"}]}',)], "value string")
     assert feeds.delay_messages(df, "value", topic="d").first().key == "7"
+
+
+def test_enrich_sees_a_replaced_weather_table(spark, tmp_path):
+    from skylag.plans import batch
+
+    def message(key, time):
+        event = {"station_id": key, "observation_time": time, "temp_c": "1"}
+        return (json.dumps(event),)
+
+    def table(value, year=2026):
+        hours = spark.createDataFrame(
+            [("EPWA", date(year, 5, 1), 13, value, 0.0, 0.0)],
+            "station string, date date, hour int, hour_temperature double, hour_precipitation double, hour_wind_gusts double",
+        )
+        batch._save(hours, str(tmp_path / "tables"), batch.STATION_HOUR, by_year=True)
+
+    def run(*messages):
+        spark.createDataFrame(list(messages), "value string").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("value string").parquet(str(tmp_path / "in"))
+        query = live.enrich(stream, str(tmp_path / "out"), str(tmp_path / "tables"), str(tmp_path / "state"), **runs.BOUNDED)
+        query.awaitTermination()
+
+    table(5.0)
+    run(message("EPWA", "2026-05-01T13:20:00Z"), message("EPWA", "bad"))
+    table(9.0)
+    table(3.0, 2025)
+    run(message("EPWA", "2026-05-01T13:40:00Z"))
+    got = spark.read.parquet(str(tmp_path / "out")).select("batch", "hour_temperature")
+    assert rows(got) == [(0, 5.0), (0, None), (1, 9.0)]
