@@ -33,17 +33,21 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     )
 
 
-def near_keys(df: DataFrame, key: str, wanted: DataFrame, buckets: int = 1 << 20) -> DataFrame:
+def near_keys(
+    df: DataFrame, key: str, wanted: DataFrame, others: bool = False, buckets: int = 1 << 20
+) -> DataFrame:
     """The rows of `df` whose key may be among those of `wanted`, without an exchange of `df`.
 
     At most `buckets` hash values of the wanted keys are broadcast, whatever their number. A join
-    on the key itself has to follow; where there are many keys, it alone decides.
+    on the key itself has to follow; where there are many keys, it alone decides. With `others`,
+    the rows whose key is certainly not among the wanted ones; the two make up the whole.
     """
     def value(name):
         return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
 
     kept = wanted.select(value(key).alias("__bucket")).distinct()
-    return df.join(F.broadcast(kept), value(key) == F.col("__bucket"), "left_semi")
+    how = "left_anti" if others else "left_semi"
+    return df.join(F.broadcast(kept), value(key) == F.col("__bucket"), how)
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

@@ -88,25 +88,28 @@ def duplicate_groups(
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents of which no better copy exists, with all their columns.
 
-    Of rows that repeat both id and text one stays.
+    Only documents that may have a copy are exchanged. Of rows that repeat both id and text one
+    stays.
     """
-    kept = (
-        duplicate_groups(docs, id_col, text_col).filter("kept")
-        .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"),
-                F.col("_chars").alias("_n")).distinct()
+    found = written(
+        duplicate_groups(docs, id_col, text_col).filter("group_size > 1")
+        .select(F.col("doc_id").alias("__id"), "text_sha256", "kept", F.col("_chars").alias("__chars"),
+                F.col("_hash").alias("__hash")),
+        "dedup-groups",
     )
-    rows = docs.withColumns({
-        "__sha": F.sha2(without_blanks(text_of(text_col)), 256),
-        "__n": F.char_length(text_of(text_col)).cast("long"),
+    text = without_blanks(text_of(text_col))
+    rows = docs.withColumn("__hash", content_hash(text))
+    some = near_keys(rows, "__hash", found).withColumns({
+        "__sha": F.sha2(text, 256), "__n": F.char_length(text_of(text_col)).cast("long"),
     })
+    gone = found.filter(~F.col("kept")).select("__id", "text_sha256", "__chars").distinct()
     on = (
-        rows[id_col].eqNullSafe(kept["_id"]) & (rows["__sha"] == kept["_sha"])
-        & (rows["__n"] == kept["_n"])
-    )
-    return (
-        rows.join(kept, on, "left_semi").dropDuplicates([id_col, "__sha", "__n"])
-        .select(*docs.columns)
+        some[id_col].eqNullSafe(gone["__id"]) & (some["__sha"] == gone["text_sha256"])
+        & (some["__n"] == gone["__chars"])
     )
+    best = some.join(gone, on, "left_anti").dropDuplicates([id_col, "__sha", "__n"])
+    single = near_keys(rows, "__hash", found, others=True)
+    return single.select(*docs.columns).unionByName(best.select(*docs.columns))
 
 
 SQL = r"""
