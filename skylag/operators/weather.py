@@ -39,6 +39,20 @@ def payload_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
+def payload_hourly(payloads: DataFrame, stations: DataFrame, payload: str = "payload") -> DataFrame:
+    """Hourly weather of payloads that name their station in `icao`, as the weather tables take it.
+
+    Times are UTC. Name and place come from the stations, one row each; a station that is not among
+    them has null there. A time that does not parse is an error. Other columns are kept.
+    """
+    rows = payload_rows(payloads, payload).withColumn(
+        "time", F.to_timestamp("time", "yyyy-MM-dd'T'HH:mm")
+    )
+    named = stations.select(*schemas.STATIONS.fieldNames())
+    kept = [c for c in payloads.columns if c not in (payload, "icao")]
+    return rows.join(named, "icao", "left").select(*kept, *schemas.HOURLY_WEATHER.fieldNames())
+
+
 def hourly_keyed(hourly: DataFrame) -> DataFrame:
     """Hourly rows with date, hour and the text key for a later join to a stream."""
     return hourly.withColumns({"date": dates.to_day("time"), "hour": F.hour("time")}).withColumn(

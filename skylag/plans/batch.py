@@ -11,12 +11,13 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skylag import fixed, schemas
 from skylag.ml import training
 from skylag.operators import checks, delays, features, weather
 from skylag.session import build_session
-from skylag.sources import files
+from skylag.sources import files, stations
 
 DAILY, MONTHLY, ENTITY = "daily_delays", "monthly_delays", "entity_delays"
 HOURLY, STATION_DAY, REGION_DAY = (
@@ -72,6 +73,16 @@ def weather_tables(hourly: DataFrame, out: str) -> dict[str, DataFrame]:
     }
 
 
+def payload_weather(spark: SparkSession, path: str, station_path: str) -> DataFrame:
+    """Hourly weather from files of JSON payloads, one a line, each with its station in `icao`."""
+    schema = T.StructType([T.StructField("icao", T.StringType()), *schemas.HOURLY_PAYLOAD.fields])
+    payloads = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return weather.payload_hourly(
+        payloads.select("icao", F.struct("hourly").alias("payload")),
+        checks.assert_unique(stations.load_stations(spark, station_path), "icao"),
+    )
+
+
 def feature_table(spark: SparkSession, out: str, rules=fixed.STATION_RULES, **options):
     station_days = checks.assert_unique(read_table(spark, out, STATION_DAY), "icao", "date")
     built = features.build_features(
@@ -100,15 +111,18 @@ def good_rows(rows: DataFrame, out: str, name: str) -> DataFrame:
 
 def run(
     spark: SparkSession, step: str, flights: list[str], weather_path: str, out: str,
-    keep_bad_lines: bool = False,
+    keep_bad_lines: bool = False, payloads: str = "", station_path: str = "",
 ) -> None:
     options = {"bad_lines": BAD_LINE} if keep_bad_lines else {}
     if step in ("all", "delays"):
         facts = files.scan_yearly(spark, flights, schemas.DELAY_FACTS, **options)
         delay_tables(good_rows(facts, out, "flights"), out)
     if step in ("all", "weather"):
-        hours = files.scan_csv(spark, weather_path, schemas.HOURLY_WEATHER, **options)
-        weather_tables(good_rows(hours, out, "weather"), out)
+        if payloads:
+            weather_tables(payload_weather(spark, payloads, station_path), out)
+        else:
+            hours = files.scan_csv(spark, weather_path, schemas.HOURLY_WEATHER, **options)
+            weather_tables(good_rows(hours, out, "weather"), out)
     if step in ("all", "features"):
         built = feature_table(spark, out)
         features.match_quality(built).show(truncate=False)
@@ -128,10 +142,12 @@ def main() -> None:
         "--keep-bad-lines", action="store_true",
         help="put lines that do not parse into tables of their own instead of failing",
     )
+    parser.add_argument("--payloads", default="", help="JSON payloads instead of the weather CSV")
+    parser.add_argument("--stations", default="", help="station list for the payloads")
     args = parser.parse_args()
     run(
         build_session("skylag-batch"), args.step, args.flights, args.weather, args.out,
-        args.keep_bad_lines,
+        args.keep_bad_lines, args.payloads, args.stations,
     )
 
 

@@ -158,6 +158,50 @@ def columnar_json_to_rows(spark, sf):
     )
 
 
+PAYLOAD_SQL = """hours AS (
+  SELECT vec_id, s_name AS icao, 'Station ' || CAST(s_nationkey AS VARCHAR) AS airport,
+         TIMESTAMP '2025-01-01' + to_hours(i) AS time,
+         CAST(embedding[i + 1] AS DOUBLE) AS temperature_2m
+  FROM (SELECT vec_id, embedding, CAST(unnest(range(len(embedding))) AS INTEGER) AS i
+        FROM embeddings WHERE label <> 9)
+  LEFT JOIN supplier ON s_suppkey = vec_id % 10 + 1)"""
+
+
+def _payload_hours(spark, sf):
+    suppliers = views.table(spark, sf, "supplier")
+    stations_ = suppliers.select(
+        F.col("s_name").alias("icao"),
+        F.concat(F.lit("Station "), F.col("s_nationkey").cast("string")).alias("airport"),
+        F.lit(50.0).alias("latitude"), F.lit(20.0).alias("longitude"),
+    )
+    named = views.payload_texts(spark, sf).join(
+        suppliers.select(F.col("s_name").alias("icao"), "s_suppkey"),
+        F.col("s_suppkey") == F.col("vec_id") % 10 + 1,
+    )
+    return weather.payload_hourly(named.select("vec_id", "icao", "payload"), stations_)
+
+
+@query("payload_hourly_weather", f"WITH {PAYLOAD_SQL} SELECT * FROM hours")
+def payload_hourly_weather(spark, sf):
+    return _payload_hours(spark, sf).select(
+        "vec_id", "icao", "airport", F.col("time").cast("timestamp_ntz").alias("time"), "temperature_2m"
+    )
+
+
+@query(
+    "payload_station_days",
+    f"""WITH {PAYLOAD_SQL}
+    SELECT icao, CAST(time AS DATE) AS date, round(avg(temperature_2m), 6) AS mean,
+           count(*) AS hours FROM hours GROUP BY ALL""",
+)
+def payload_station_days(spark, sf):
+    """From payloads to the keyed hours that the day tables are made of."""
+    keyed = weather.hourly_keyed(_payload_hours(spark, sf))
+    return keyed.groupBy("icao", "date").agg(
+        F.round(F.avg("temperature_2m"), 6).alias("mean"), F.count("*").alias("hours")
+    )
+
+
 BOARD_COLUMNS = ", ".join(schemas.BOARD_ROW.fieldNames())
 
 

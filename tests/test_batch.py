@@ -86,3 +86,21 @@ def test_bad_lines_become_a_table(spark, path, capsys):
     assert "flights: 1 bad lines left out" in capsys.readouterr().out
     assert batch.read_table(spark, f"{path}/out", batch.DAILY).count() == 181
     assert "x7" in spark.read.parquet(f"{path}/out/flights_bad_lines").first().bad_line
+
+
+def test_weather_from_payloads(spark, path):
+    import json
+
+    with open(f"{path}/p.json", "w") as handle:
+        for icao in ("EPWA", "EDDF"):
+            times = [f"2025-03-0{d}T{h:02}:00" for d in (1, 2) for h in range(24)]
+            handle.write(json.dumps({"icao": icao, "hourly": {"time": times, "temperature_2m": [1.0] * 30}}) + "\n")
+    with open(f"{path}/s.csv", "w") as handle:
+        handle.write("icao,airport,latitude,longitude\nEPWA,Warsaw,52.1,20.9\nEDDF,Frankfurt,50.0,8.5\n")
+    batch.run(spark, "weather", [], "", f"{path}/out", payloads=f"{path}/p.json", station_path=f"{path}/s.csv")
+    days = batch.read_table(spark, f"{path}/out", batch.STATION_DAY)
+    assert sorted((r.icao, r.airport, str(r.date)) for r in days.collect()) == [
+        ("EDDF", "Frankfurt", "2025-03-01"), ("EDDF", "Frankfurt", "2025-03-02"),
+        ("EPWA", "Warsaw", "2025-03-01"), ("EPWA", "Warsaw", "2025-03-02"),
+    ]
+    assert batch.read_table(spark, f"{path}/out", batch.STATION_HOUR).count() == 96
