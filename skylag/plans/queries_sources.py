@@ -164,7 +164,7 @@ PAYLOAD_SQL = """hours AS (
          CAST(embedding[i + 1] AS DOUBLE) AS temperature_2m
   FROM (SELECT vec_id, embedding, CAST(unnest(range(len(embedding))) AS INTEGER) AS i
         FROM embeddings WHERE label <> 9)
-  LEFT JOIN supplier ON s_suppkey = vec_id % 10 + 1)"""
+  JOIN supplier ON s_suppkey = vec_id % 10 + 1)"""
 
 
 def _payload_hours(spark, sf):
