@@ -275,3 +275,29 @@ def regression_train_score(spark, sf):
     """Ridge on the feature table: earlier dates train, later dates are scored."""
     trained = training.train_and_score(views.feature_rows(spark, sf))
     return trained.predictions.select("date", "ENTITY_NAME", "prediction", fixed.LABEL)
+
+
+@query(
+    "pipeline_fit_transform",
+    f"""WITH {SPLIT_SQL},
+    known AS (SELECT * FROM parts WHERE {fixed.LABEL} IS NOT NULL),
+    ranked AS (
+      SELECT ENTITY_NAME, CAST(row_number() OVER (ORDER BY count(*) DESC, ENTITY_NAME) - 1 AS DOUBLE) AS x
+      FROM known WHERE split = 'train' GROUP BY ENTITY_NAME),
+    line AS (
+      SELECT regr_slope({fixed.LABEL}, x) AS slope, regr_intercept({fixed.LABEL}, x) AS base
+      FROM known JOIN ranked USING (ENTITY_NAME) WHERE split = 'train')
+    SELECT date, ENTITY_NAME, ENTITY_TYPE, round(base + slope * x, 4) AS prediction
+    FROM known JOIN ranked USING (ENTITY_NAME), line WHERE split = 'test'""",
+)
+def pipeline_fit_transform(spark, sf):
+    """The older trainer as a whole: entities by frequency, split by date, unseen ones skipped, no
+    penalty; a prediction for each later row."""
+    rows = training.label_split(written(views.daily(spark, sf), "daily"))
+    data = written(rows.filter(F.col(fixed.LABEL).isNotNull()), "legacy")
+    pipeline = training.build_pipeline(
+        data, ["ENTITY_NAME"], unseen="skip", regParam=0.0, solver="normal"
+    )
+    model = pipeline.fit(data.filter("split = 'train'"))
+    scored = model.transform(data.filter("split = 'test'"))
+    return rounded(scored.select("date", "ENTITY_NAME", "ENTITY_TYPE", "prediction"), digits=4)
