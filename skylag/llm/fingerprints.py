@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,8 +15,11 @@ from skylag.llm.common import blocks, mixed, portions, text_of, utf8
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
-# bytes of a k-mer and of its inner substrings; anchors of a fingerprint; places that still agree
-K, S, ANCHORS, SLACK = 24, 8, 64, 32
+# bytes of a k-mer and of its inner substrings
+K, S = 24, 8
+# of a text's anchors, all whose hash is below BELOW are kept, one for about 70 bytes however long
+# it is, and in a short text at least its ANCHORS smallest
+ANCHORS, BELOW = 64, 1 << 29
 # ranges of ids for each partition
 RANGES = 4
 _WINDOW = K - S + 1
@@ -52,7 +56,8 @@ def syncmers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 def anchors_of(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """(hashes, places) of each text's fingerprint: its smallest hashes, in order, each once.
 
-    A text without any syncmer has one anchor, made of the whole; an empty one has none.
+    Their number follows the length of the text, so a passage has as many anchors in a long text
+    as in another one. A text without any syncmer has one anchor, made of the whole; an empty one has none.
     """
     out = []
     for _, _, data, offsets in blocks(*utf8(pa.array(texts, pa.string()))):
@@ -68,7 +73,8 @@ def anchors_of(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
                 continue
             # places ascend, so of equal hashes the first place is kept
             top, first = np.unique((hashes[a:b] >> np.uint64(32)).astype(np.uint32), return_index=True)
-            out.append((top[:ANCHORS], (at[a:b] - offsets[i])[first[:ANCHORS]]))
+            n = max(ANCHORS, int(np.searchsorted(top, BELOW)))
+            out.append((top[:n], (at[a:b] - offsets[i])[first[:n]]))
     return out
 
 
@@ -81,24 +87,46 @@ def written_out(anchors: tuple[np.ndarray, np.ndarray]) -> str:
     return row.tobytes().hex()
 
 
+def _known_below(hashes: np.ndarray) -> int:
+    """Below this value a fingerprint has every anchor of its text."""
+    if len(hashes) < ANCHORS:
+        return 1 << 32
+    return max(int(hashes[-1]) + 1, BELOW) if len(hashes) == ANCHORS else BELOW
+
+
+def _in_order(places: np.ndarray) -> int:
+    """The most of the places, without changing their order, that ascend."""
+    if (np.diff(places) > 0).all():
+        return len(places)
+    ends: list[int] = []  # the least last place of ascending runs of each length
+    for place in places.tolist():
+        i = bisect_left(ends, place)
+        ends[i : i + 1] = [place]
+    return len(ends)
+
+
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """0 to 1: shared anchors on one diagonal among the smallest of both fingerprints.
+    """0 to 1: shared anchors in one order, as a share of the anchors of both texts.
+
+    Only anchors below the value up to which both fingerprints are complete are compared. The
+    shared ones count as far as they follow each other alike in both texts, whatever stands
+    between them: an insertion moves all that follows to another diagonal and costs only itself,
+    while passages in another order count in one order only.
 
     Two empty texts are alike, an empty and another one are not.
     """
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    first = dict(zip(a[0].tolist(), a[1].tolist()))
-    second = dict(zip(b[0].tolist(), b[1].tolist()))
-    bound = len(first) if len(first) >= len(second) else len(second)
-    smallest = sorted(first.keys() | second.keys())[: max(bound, 1)]
-    shifts = sorted(first[h] - second[h] for h in smallest if h in first and h in second)
-    best = left = 0
-    for right, shift in enumerate(shifts):
-        while shift - shifts[left] > SLACK:
-            left += 1
-        best = max(best, right - left + 1)
-    return best / len(smallest)
+    known = min(_known_below(a[0]), _known_below(b[0]))
+    first, second = (h[: np.searchsorted(h, known)] for h in (a[0], b[0]))
+    if not len(first) or not len(second):
+        return 0.0
+    at = np.minimum(np.searchsorted(second, first), len(second) - 1)
+    hit = np.flatnonzero(second[at] == first)
+    if not len(hit):
+        return 0.0
+    order = np.argsort(a[1][hit])
+    return _in_order(b[1][at[hit]][order]) / (len(first) + len(second) - len(hit))
 
 
 def edited(text: str, following: str) -> str:

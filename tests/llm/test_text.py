@@ -97,6 +97,42 @@ def test_terms_that_give_an_entity_away(llm):
 
 # --- fingerprints
 
+def _prose(seed, n):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randint(3, 9))) for _ in range(n))
+
+
+def test_a_passage_of_a_long_text_keeps_anchors():
+    passage, before, after = _prose(1, 1_500), _prose(2, 70_000), _prose(3, 70_000)
+    (one, places), (two, _) = fingerprints.anchors_of([before + passage + after, after + passage + before])
+    inside = (places > len(before)) & (places < len(before) + len(passage) - fingerprints.K)
+    # one anchor for 64 to 76 bytes in the mean
+    assert inside.sum() > len(passage) / 140
+    assert set(one[inside].tolist()) <= set(two.tolist())
+
+
+@pytest.mark.parametrize("words", [600, 20_000])
+def test_insertions_leave_near_copies_alike(words):
+    text = _prose(4, words).split()
+    two = text[: words // 3] + _prose(5, 12).split() + text[words // 3 : words * 2 // 3] + _prose(6, 15).split() + text[words * 2 // 3 :]
+    drift = [w for i, w in enumerate(text) for w in ([w, "extra"] if i % 40 == 7 else [w])]
+    parts = [text[i : i + words // 60] for i in range(0, words, words // 60)]
+    mixed = random.Random(7).sample(parts, len(parts))
+    a, b, c, d, e = fingerprints.anchors_of([" ".join(x) for x in (text, two, drift, sum(mixed, []), _prose(8, words).split())])
+    assert fingerprints.likeness(a, a) == 1
+    assert fingerprints.likeness(a, b) > 0.8 and fingerprints.likeness(b, a) == fingerprints.likeness(a, b)
+    assert fingerprints.likeness(a, c) > 0.6
+    assert fingerprints.likeness(a, d) < 0.4 and fingerprints.likeness(a, e) == 0
+
+
+def test_texts_of_unlike_length_are_compared_where_both_are_known():
+    long, short = _prose(9, 5_000), _prose(10, 300)
+    a, b = fingerprints.anchors_of([long, long[: len(long) // 2]])
+    assert abs(fingerprints.likeness(a, b) - 0.5) < 0.1
+    c, d = fingerprints.anchors_of([short, short + " " + _prose(11, 700)])
+    assert abs(fingerprints.likeness(c, d) - 0.3) < 0.2
+
+
 def test_fingerprints_equal_plain_order(llm, rows):
     docs = llm.read.parquet(f"{SF}/documents.parquet").repartition(5)
     got = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect()}
