@@ -14,11 +14,17 @@ from skylag.llm.common import portions, text_of
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
-# outcomes of the model: its words, the end of a text, and one for all other words
-MODEL_WORDS = 126
-END, OTHER, SIZE = MODEL_WORDS, MODEL_WORDS + 1, MODEL_WORDS + 2
-BEGIN = SIZE  # only ever a context
-WIDTH, NOISE, BATCH, STEPS = 24, 10, 4096, 500
+# outcomes of the model: the end of a text, one for all rare words, then its words by their counts;
+# a model has SIZE outcomes at least, and its size itself stands for what precedes a text
+END, OTHER, WORD, SIZE = 0, 1, 2, 128
+# words of fewer training occurrences are rare, and so are words of under one in SELDOM tokens
+RARE, SELDOM = 3, 1 << 25
+WIDTH, NOISE, BATCH, STEPS = 24, 64, 2048, 1000
+# all training tokens are drawn once, and in a small corpus again up to LEAST_DRAWS; a shard has
+# SHARD_TOKENS for each outcome, so that its copy of the model is small beside it
+LEAST_DRAWS, MOST_ROUNDS, SHARDS, SHARD_TOKENS = 2_000_000, 16, 4, 200
+# outcomes whose parameters are merged as one row
+CHUNK = 1 << 13
 # the most frequent words, whose counts every task has; all others meet their counts in a join
 HEAD_WORDS = 1 << 16
 
@@ -51,22 +57,23 @@ def count_words(texts: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def outcomes(ids: np.ndarray, lengths: np.ndarray, n_words: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Outcomes of all texts, ends included, and the two outcomes before each.
 
-    `ids` are the words' places in the head, -1 outside it; `lengths` the words of each text.
+    `ids` are the words' places in the head, -1 outside it, of which the first `n_words` are words
+    of the model; `lengths` the words of each text.
     """
     ends = np.cumsum(lengths + 1) - 1
     out = np.full(len(ids) + len(lengths), END)
     at = np.ones(len(out), bool)
     at[ends] = False
-    out[at] = np.where((ids < 0) | (ids >= MODEL_WORDS), OTHER, ids)
+    out[at] = np.where((ids < 0) | (ids >= n_words), OTHER, ids + WORD)
     starts = ends - lengths
-    one, two = np.concatenate(([BEGIN], out[:-1])), np.concatenate(([BEGIN, BEGIN], out[:-2]))[: len(out)]
-    one[starts] = BEGIN
-    two[starts] = BEGIN
+    one, two = np.concatenate(([size], out[:-1])), np.concatenate(([size, size], out[:-2]))[: len(out)]
+    one[starts] = size
+    two[starts] = size
     second = starts + 1
-    two[second[lengths > 0]] = BEGIN
+    two[second[lengths > 0]] = size
     return out, one, two
 
 
@@ -77,97 +84,210 @@ def _head_ids(texts: list[list[bytes]], head: dict[bytes, int]) -> tuple[np.ndar
     return ids, lengths
 
 
-def count_outcomes(texts: DataFrame, head: dict[bytes, int]) -> DataFrame:
-    """code, n: how often each outcome follows each two others, over all texts.
+class LogBilinear:
+    """score(w | a, b) = q[w] . (C1 r[b] + C2 r[a]) + bias[w]; a, b are the outcomes before w.
 
-    There are at most (SIZE + 1) ** 2 * SIZE codes, whatever the corpus.
+    Outcomes are leaves of a tree of three layers, each of whose nodes has up to `fan` children; the
+    nodes have q and bias of their own. The probability of an outcome is the product of those of
+    its nodes among their siblings, so it is normalised in three sums over `fan` nodes.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (part for whole in batches for part in portions(whole)):
-            out, one, two = outcomes(*_head_ids(_texts(batch), head))
-            codes, n = np.unique((two * (SIZE + 1) + one) * SIZE + out, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.int64()), pa.array(n, pa.int64())], ["code", "n"]
-            )
-
-    return texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-class LogBilinear:
-    """score(w | a, b) = q[w] . (C1 r[b] + C2 r[a]) + bias[w]; a, b are the outcomes before w."""
-
-    def __init__(self, unigram: np.ndarray, seed: int = 5):
-        rng = np.random.default_rng(seed)
-        self.noise = (unigram + 1) / (unigram + 1).sum()
-        self.p = {
-            "r": rng.normal(0, 0.1, (SIZE + 1, WIDTH)), "q": rng.normal(0, 0.1, (SIZE, WIDTH)),
-            "c1": np.eye(WIDTH), "c2": np.eye(WIDTH) * 0.5, "bias": np.log(self.noise),
-        }
-        self.square = {k: np.full(v.shape, 1e-4) for k, v in self.p.items()}
+    def __init__(self, unigram: np.ndarray, seed: int = 5, p: dict[str, np.ndarray] | None = None):
+        size, rng = len(unigram), np.random.default_rng(seed)
+        self.size, self.fan = size, int(np.ceil(size ** (1 / 3) - 1e-9))
+        self.noise, counts = [], unigram + 1.0
+        for _ in range(3):
+            self.noise.append(counts / counts.sum())
+            counts = np.add.reduceat(counts, np.arange(0, len(counts), self.fan))
+        if p is None:
+            p = {"r": 0.1 * rng.standard_normal((size + 1, WIDTH), np.float32), "c1": np.eye(WIDTH), "c2": np.eye(WIDTH) * 0.5}
+            for i, noise in enumerate(self.noise):
+                p |= {f"q{i}": 0.1 * rng.standard_normal((len(noise), WIDTH), np.float32), f"bias{i}": np.log(noise)}
+        self.p = {k: v.astype(np.float32) for k, v in p.items()}
+        # what each row of parameters, or each weight of the contexts, has been moved by
+        self.square = {k: np.ones(v.shape if k in ("c1", "c2") else len(v), np.float32) for k, v in self.p.items()}
+        self.sums = [np.cumsum(noise) for noise in self.noise]
+        self.log_noise = [np.log(NOISE * noise).astype(np.float32) for noise in self.noise]
         self.rng = rng
 
+    def _move(self, key: str, at: np.ndarray, g: np.ndarray, rate: float) -> None:
+        """Move rows of parameters by the sums of their gradients, less the more they have moved."""
+        order = np.argsort(at, kind="stable")
+        first = np.flatnonzero(np.diff(at[order], prepend=-1))
+        rows, g = at[order][first], np.add.reduceat(g[order], first)
+        self.square[key][rows] += (g * g).mean(axis=1) if g.ndim > 1 else g * g
+        step = rate / np.sqrt(self.square[key][rows])
+        self.p[key][rows] -= step[:, None] * g if g.ndim > 1 else step * g
+
     def step(self, out: np.ndarray, one: np.ndarray, two: np.ndarray, rate: float) -> None:
-        """One step of noise-contrastive estimation: tell each outcome from NOISE drawn ones."""
-        p, n = self.p, len(out)
-        drawn = self.rng.choice(SIZE, (n, NOISE), p=self.noise)
-        words = np.concatenate((out[:, None], drawn), axis=1)
+        """One step of noise-contrastive estimation, on each layer of nodes.
+
+        The outcomes of a batch are told from NOISE nodes, drawn once for all of them.
+        """
+        p = self.p
         r1, r2 = p["r"][one], p["r"][two]
         guess = r1 @ p["c1"] + r2 @ p["c2"]
-        score = np.einsum("nkd,nd->nk", p["q"][words], guess) + p["bias"][words]
-        logit = score - np.log(NOISE * self.noise)[words]
-        error = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
-        error[:, 0] -= 1
-        error /= n
-        # sums over equal words as one product with an indicator of each word's errors
-        spread = np.bincount(
-            (words * n + np.arange(n)[:, None]).ravel(), error.ravel(), SIZE * n
-        ).reshape(SIZE, n)
-        to_guess = spread.T @ p["q"]
-        g = {
-            "q": spread @ guess, "bias": spread.sum(axis=1),
-            "c1": r1.T @ to_guess, "c2": r2.T @ to_guess, "r": np.zeros_like(p["r"]),
-        }
-        for at, c in ((one, "c1"), (two, "c2")):
-            back = to_guess @ p[c].T
-            order = np.argsort(at, kind="stable")
-            first = np.flatnonzero(np.diff(at[order], prepend=-1))
-            g["r"][at[order][first]] += np.add.reduceat(back[order], first)
-        for k, v in g.items():
-            self.square[k] = 0.99 * self.square[k] + 0.01 * v * v
-            p[k] -= rate * v / (np.sqrt(self.square[k]) + 1e-6)
+        to_guess = np.zeros_like(guess)
+        moves, node = [], out
+        for i in range(3):
+            q, bias = f"q{i}", f"bias{i}"
+            drawn = np.searchsorted(self.sums[i], self.rng.random(NOISE)).clip(0, len(self.sums[i]) - 1)
+            mine, others = p[q][node], p[q][drawn]
+            x = (mine * guess).sum(axis=1) + p[bias][node] - self.log_noise[i][node]
+            hit = 1 / (1 + np.exp(-np.clip(x, -30, 30))) - 1
+            x = guess @ others.T + (p[bias][drawn] - self.log_noise[i][drawn])
+            miss = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+            to_guess += hit[:, None] * mine + miss @ others
+            at = np.concatenate((node, drawn))
+            moves.append((q, at, np.concatenate((hit[:, None] * guess, miss.T @ guess))))
+            moves.append((bias, at, np.concatenate((hit, miss.sum(axis=0)))))
+            node = node // self.fan
+        moves.append((
+            "r", np.concatenate((one, two)), np.concatenate((to_guess @ p["c1"].T, to_guess @ p["c2"].T))
+        ))
+        for c, r in (("c1", r1), ("c2", r2)):
+            g = r.T @ to_guess
+            self.square[c] += g * g
+            p[c] = p[c] - 0.1 * rate * g / np.sqrt(self.square[c])
+        for move in moves:
+            self._move(*move, rate)
 
     def train(self, codes: np.ndarray, n: np.ndarray, steps: int = STEPS) -> LogBilinear:
         """Steps over counted outcomes, each drawn as often as it was counted."""
         sums = np.cumsum(n.astype(float))
         for i in range(steps):
             drawn = codes[np.searchsorted(sums, self.rng.random(BATCH) * sums[-1], "right")]
-            out, rest = drawn % SIZE, drawn // SIZE
-            self.step(out, rest % (SIZE + 1), rest // (SIZE + 1), 0.02 * (1 - i / steps) + 0.0005)
+            out, rest = drawn % self.size, drawn // self.size
+            self.step(out, rest % (self.size + 1), rest // (self.size + 1), 0.3 * (1 - i / steps) + 0.01)
         return self
 
+    def log10_of(self, out: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Normalised log10 probabilities of outcomes after two others, in double precision."""
+        p = {k: self.p[k].astype(float) for k in ("c1", "c2")}
+        total, node = np.zeros(len(out)), out
+        guess = self.p["r"][one].astype(float) @ p["c1"] + self.p["r"][two].astype(float) @ p["c2"]
+        for i in range(3):
+            q, bias = self.p[f"q{i}"], self.p[f"bias{i}"]
+            above = node // self.fan if i < 2 else np.zeros_like(node)
+            width = self.fan if i < 2 else len(q)
+            order = np.argsort(above, kind="stable")
+            cuts = np.append(np.flatnonzero(np.diff(above[order], prepend=-1)), len(order)).tolist()
+            for a, b in zip(cuts, cuts[1:]):
+                start = int(above[order[a]]) * width
+                child, base = q[start : start + width].T.astype(float), bias[start : start + width].astype(float)
+                for c in range(a, b, 8192):
+                    rows = order[c : min(b, c + 8192)]
+                    s = guess[rows] @ child + base
+                    mine = s[np.arange(len(rows)), node[rows] - start]
+                    top = s.max(axis=1)
+                    total[rows] += mine - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
+            node = above
+        return total / np.log(10)
+
     def log10_table(self) -> np.ndarray:
-        """Normalised log10 probabilities: a row for each two outcomes, a column for each next one."""
-        p = self.p
-        near, far = p["r"] @ p["c1"], p["r"] @ p["c2"]
-        table = np.empty(((SIZE + 1) ** 2, SIZE), np.float32)
-        for two in range(SIZE + 1):
-            s = (near + far[two]) @ p["q"].T + p["bias"]
-            s -= s.max(axis=1, keepdims=True)
-            s -= np.log(np.exp(s).sum(axis=1, keepdims=True))
-            table[two * (SIZE + 1) : (two + 1) * (SIZE + 1)] = s / np.log(10)
-        return table
+        """Normalised log10 probabilities of a small model: a row for each two outcomes before."""
+        n = self.size
+        code = np.arange((n + 1) ** 2 * n)
+        rest = code // n
+        return self.log10_of(code % n, rest % (n + 1), rest // (n + 1)).reshape(-1, n).astype(np.float32)
+
+
+def _trained(coded: DataFrame, unigram: np.ndarray, tokens: int) -> LogBilinear:
+    """A model trained on all coded texts, by as many draws as they have tokens at least.
+
+    In each round every shard of the texts trains a copy of the model, and the copies' moves are
+    averaged, row by row, by how often each copy has met the row. A large corpus is gone through
+    once, one half of its texts in each of two rounds, a small one wholly in each of several. Shards
+    follow the texts alone, so the model does not depend on how the table is partitioned.
+    """
+    spark = coded.sparkSession
+    size, model = len(unigram), LogBilinear(unigram)
+    rounds = min(MOST_ROUNDS, -(-LEAST_DRAWS // tokens))
+    parts = [None] * rounds if rounds > 1 else [0, 1]
+    shards = max(SHARDS, tokens // (SHARD_TOKENS * size))
+    for turn, part in enumerate(parts):
+        known = spark.sparkContext.broadcast((unigram, model.p))
+        rates = [0.1 * (1 - x / len(parts)) + 0.01 for x in (turn, turn + 1)]
+
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            unigram, start = known.value
+            mine = LogBilinear(unigram, seed=7 + turn, p=start)
+            met = {k: np.zeros(len(v), np.int64) for k, v in mine.p.items()}
+            steps = 0
+            for batch in batches:
+                texts = [np.frombuffer(x.as_buffer(), np.int32).astype(np.int64) for x in batch.column("codes")]
+                if not texts:
+                    continue
+                ids = np.concatenate(texts)
+                lengths = np.array([len(x) for x in texts])
+                # codes are outcomes already: words keep their places, the others are moved below them
+                out, one, two = outcomes(ids - WORD, lengths, size - WORD, size)
+                mixed_up = mine.rng.permutation(len(out))
+                for a in range(0, len(out), BATCH):
+                    at = mixed_up[a : a + BATCH]
+                    mine.step(out[at], one[at], two[at], sum(rates) / 2)
+                    steps += 1
+                node = out
+                for i in range(3):
+                    n = np.bincount(node, minlength=len(met[f"q{i}"]))
+                    met[f"q{i}"] += n
+                    met[f"bias{i}"] += n
+                    node = node // mine.fan
+                met["r"] += np.bincount(one, minlength=size + 1) + np.bincount(two, minlength=size + 1)
+                met["c1"] += len(out)
+                met["c2"] += len(out)
+            for key, value in mine.p.items() if steps else ():
+                for a in range(0, len(value), CHUNK):
+                    at = np.flatnonzero(met[key][a : a + CHUNK]).astype(np.int32)
+                    if len(at):
+                        # half precision is enough for moves and halves what is exchanged
+                        moved = (value[a + at] - start[key][a + at]).astype(np.float16)
+                        n = met[key][a + at].astype(np.int32)
+                        row = [key, a, at.tobytes(), n.tobytes(), moved.tobytes()]
+                        yield pa.RecordBatch.from_pylist([dict(zip(("key", "first", "at", "met", "moved"), row))], schema=fields)
+
+        def merge(key, table):
+            rows = sorted(table.to_pylist(), key=lambda r: (r["at"], r["met"], r["moved"]))
+            count, total = np.zeros(CHUNK, np.int64), None
+            for r in rows:
+                at, n = np.frombuffer(r["at"], np.int32), np.frombuffer(r["met"], np.int32).astype(np.int64)
+                moved = np.frombuffer(r["moved"], np.float16).reshape(len(at), -1).astype(float)
+                total = np.zeros((CHUNK, moved.shape[1])) if total is None else total
+                total[at] += moved * n[:, None]
+                count[at] += n
+            at = np.flatnonzero(count).astype(np.int32)
+            mean = (total[at] / count[at][:, None]).astype(np.float32)
+            row = {"key": rows[0]["key"], "first": rows[0]["first"], "at": at.tobytes(), "met": b"", "moved": mean.tobytes()}
+            return pa.Table.from_pylist([row], schema=fields)
+
+        fields = pa.schema([
+            ("key", pa.string()), ("first", pa.int64()), ("at", pa.binary()), ("met", pa.binary()), ("moved", pa.binary())
+        ])
+        schema = "key string, first long, at binary, met binary, moved binary"
+        chosen = coded if part is None else coded.filter(F.pmod("place", F.lit(2)) == part)
+        copies = (
+            chosen.repartition(shards, "place").sortWithinPartitions("place", "codes").select("codes")
+            .mapInArrow(learn, schema)
+        )
+        # one row for each chunk of the model
+        merged = written(copies.groupBy("key", "first").applyInArrow(merge, schema), "lm-model")
+        p = model.p  # in place: tasks have read what was sent to them
+        for r in merged.toLocalIterator():
+            at = np.frombuffer(r.at, np.int32) + r["first"]
+            p[r.key][at] += np.frombuffer(r.moved, np.float32).reshape(p[r.key][at].shape)
+        known.unpersist()
+    return model
 
 
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    The vocabulary is counted over all training texts and stays a table. The model has a fixed
-    number of outcomes, and its counts of three outcomes in a row cover all training texts too;
-    being bounded, they alone are fetched, for numpy to train on. A word outside the model has
-    the probability of OTHER times its add-one share of all such words, so probabilities of all
-    known words and one unknown add up to one. Counts of the HEAD_WORDS most frequent words are
-    in every task; other words are joined with the vocabulary, one row per text and word.
+    The vocabulary is counted over all training texts and stays a table. All its words but rare
+    ones are outcomes and contexts of the model, which is trained on all training texts, shard by
+    shard. A rare word has the probability of OTHER times its add-one share of all such words, so
+    probabilities of all known words and one unknown add up to one. Counts of the model's words,
+    or of the HEAD_WORDS most frequent ones, are in every task; other words are joined with the
+    vocabulary, one row per text and word.
 
     A null text is empty and has one token, its end. A null id is not held out. Rows that repeat
     an id are scored each, and counted each. Without training texts every word is unknown and the
@@ -177,43 +297,59 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(
         F.col(id_col).alias("doc_id"), held.alias("held_out"), text_of(text_col).alias("text")
     )
-    training = texts.filter(~F.col("held_out")).select("text")
+    training = texts.filter(~F.col("held_out")).select("text", F.xxhash64("doc_id", "text").alias("place"))
     vocabulary = written(count_words(training), "lm-words")
     ends = training.count()
     row = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = row.n + ends, row.v + (ends > 0)
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(HEAD_WORDS).toArrow()
+    least = max(RARE, -(-total // SELDOM))
+    n_words = vocabulary.filter(F.col("n") >= least).count()
+    top = vocabulary.orderBy(F.desc("n"), "word").limit(max(HEAD_WORDS, n_words)).toArrow()
     words = [w.encode() for w in top.column("word").to_pylist()]
-    head = {w: i for i, w in enumerate(words)}
     counts = np.array(top.column("n").to_pylist(), np.int64)
-    other_n, other_v = row.n - int(counts[:MODEL_WORDS].sum()), row.v - min(row.v, MODEL_WORDS)
-
-    seen = count_outcomes(training, head).toArrow()
-    codes, n = seen.column("code").to_numpy(), seen.column("n").to_numpy()
-    order = np.argsort(codes)
-    codes, n = codes[order], n[order]
-    model = LogBilinear(np.bincount(codes % SIZE, n, SIZE) if len(codes) else np.zeros(SIZE))
-    table = (model.train(codes, n) if len(codes) else model).log10_table()
+    size = max(SIZE, n_words + WORD)
+    other_n, other_v = row.n - int(counts[:n_words].sum()), row.v - n_words
+    unigram = np.zeros(size)
+    unigram[[END, OTHER]] = ends, other_n
+    unigram[WORD : WORD + n_words] = counts[:n_words]
+    held_words = docs.sparkSession.sparkContext.broadcast(words)
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = {w: i for i, w in enumerate(held_words.value)}
+        for batch in (part for whole in batches for part in portions(whole)):
+            ids, lengths = _head_ids(_texts(batch), head)
+            ids = np.where((ids < 0) | (ids >= n_words), OTHER, ids + WORD).astype(np.int32)
+            cuts = np.concatenate(([0], np.cumsum(lengths))).tolist()
+            codes = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(codes, pa.binary())], ["place", "codes"])
+
+    model = LogBilinear(unigram)
+    if total:
+        coded = written(training.mapInArrow(code, "place long, codes binary"), "lm-codes")
+        model = _trained(coded, unigram, total)
+    known = docs.sparkSession.sparkContext.broadcast((unigram, model.p))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = {w: i for i, w in enumerate(held_words.value)}
+        model = LogBilinear(known.value[0], p=known.value[1])
         log_count = np.append(np.log10(counts + 1.0), 0.0)  # the last for words outside the head
         for batch in (part for whole in batches for part in portions(whole)):
             split = _texts(batch)
             ids, lengths = _head_ids(split, head)
-            out, one, two = outcomes(ids, lengths)
+            out, one, two = outcomes(ids, lengths, n_words, size)
             ends_at = np.cumsum(lengths + 1)
             model_sum = np.add.reduceat(
-                table[two * (SIZE + 1) + one, out].astype(np.float64), ends_at - lengths - 1
+                model.log10_of(out, one, two), ends_at - lengths - 1
             )
             word_ends = np.cumsum(lengths)
             text_of_word = np.repeat(np.arange(len(lengths)), lengths)
             log = log_count[ids]
-            outside = (ids < 0) | (ids >= MODEL_WORDS)
+            outside = (ids < 0) | (ids >= n_words)
 
             def per_text(values, mask=None):
                 if mask is None:
-                    return np.bincount(text_of_word, values, len(lengths))
-                return np.bincount(text_of_word[mask], values[mask], len(lengths))
+                    return np.bincount(text_of_word, values, len(lengths)).astype(float)
+                return np.bincount(text_of_word[mask], values[mask], len(lengths)).astype(float)
 
             rest = []
             for i, (words_i, end, length) in enumerate(zip(split, word_ends, lengths)):

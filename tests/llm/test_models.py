@@ -112,3 +112,29 @@ def test_training_learns_what_follows():
     model = language_model.LogBilinear(np.bincount(out, minlength=size).astype(float)).train(codes, n)
     table = 10.0 ** model.log10_table().astype(float)
     assert np.mean(table[one * (size + 1) + one, out]) > 0.5
+
+
+def test_frequent_words_are_outcomes_and_contexts_however_many(llm):
+    # 300 words, each always followed by its own partner; none is among the 126 most frequent ones
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(126)]
+    rows = []
+    for i in range(1500):
+        words = []
+        for _ in range(40):
+            k = rng.randrange(300)
+            words += [f"left{k}", f"right{k}", *rng.choices(common, k=3)]
+        rows.append((i, " ".join(words)))
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    held = [r for r in language_model.language_scores(docs).collect() if r.held_out]
+    tokens = sum(r.n_tokens for r in held)
+    # a fifth of the tokens is certain from the word before, which is worth log10(300) each
+    assert sum(r.score - r.base_score for r in held) / tokens > 0.25
+
+
+def test_probabilities_of_a_larger_model_add_up_to_one():
+    model = language_model.LogBilinear(np.arange(1000, dtype=float))
+    out = np.arange(1000)
+    for one, two in ((3, 900), (1000, 1000), (999, 0)):
+        p = 10.0 ** model.log10_of(out, np.full(1000, one), np.full(1000, two))
+        assert math.isclose(p.sum(), 1, rel_tol=1e-9)
