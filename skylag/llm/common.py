@@ -142,3 +142,25 @@ def list_column(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.A
     """A list column whose i-th list ends at ends[i]."""
     offsets = np.concatenate(([0], ends)).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def finite_vectors(column: str) -> Column:
+    """Whether a vector and all its components are there and finite."""
+    def finite(x):
+        return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
+
+    return F.coalesce(F.col(column).isNotNull() & F.forall(column, finite), F.lit(False))
+
+
+def vector_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors as lines of doubles, shorter ones continued by zeros."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks() if column.num_chunks else pa.array([], column.type)
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)
+    width = int(lengths.max()) if len(lengths) else 0
+    if (lengths == width).all():
+        return values.reshape(len(lengths), width)
+    out = np.zeros((len(lengths), width))
+    out[np.arange(width) < lengths[:, None]] = values
+    return out
