@@ -52,7 +52,7 @@ def packed_products(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
     # (x - low_a)(y - low_r), summed, and what it lacks of xy
     rest = (anchors * low_r).sum(1)[:, None] + (rows * low_a).sum(1)[None, :] - (low_a * low_r).sum()
     if rows.dtype == object:
-        return _wide(a, r, int(most.sum())) + rest
+        return _wide(a, r, max(int(most.sum()), int(r.max()))) + rest
     part = len(most)
     while part > 1 and int(most[:part].sum()) >> (MANTISSA // 2):
         part = (part + 1) // 2
