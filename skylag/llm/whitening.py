@@ -41,28 +41,29 @@ def secular_roots(poles: np.ndarray, z: np.ndarray, rho: float) -> tuple[np.ndar
     low = np.where(right, -half, np.where(at_half < 0, half, 0.0))
     high = np.where(right, 0.0, np.where(at_half < 0, 2 * half, half))
     left_pole, right_pole = poles - origin, ends - origin
-    below = np.tri(k, dtype=bool)
+    below = np.tri(k)
     x = (low + high) / 2
     for _ in range(80):
         distance = gap - x[:, None]
         term = square / distance
         value = 1 + term.sum(1)
-        if (np.abs(value) <= 2 * EPS * k * (1 + np.abs(term).sum(1))).all():
+        done = np.abs(value) <= 2 * EPS * k * (1 + np.abs(term).sum(1))
+        if done.all():
             break
         low, high = np.where(value < 0, x, low), np.where(value < 0, high, x)
         slope = term / distance
-        first = (slope * below).sum(1)
-        second = slope.sum(1) - first
+        first, both = np.einsum("ij,ij->i", slope, below), slope.sum(1)
+        second = both - first
         d1, d2 = left_pole - x, right_pole - x
         c = value - d1 * first - d2 * second
-        a = (d1 + d2) * value - d1 * d2 * (first + second)
+        a = (d1 + d2) * value - d1 * d2 * both
         b = d1 * d2 * value
         with np.errstate(all="ignore"):
             root = np.sqrt(np.maximum(a * a - 4 * b * c, 0))
             step = np.where(a <= 0, (a - root) / (2 * c), 2 * b / (a + root))
             new = x + step
         bad = ~((new > low) & (new < high))
-        new = np.where(bad, (low + high) / 2, new)
+        new = np.where(done, x, np.where(bad, (low + high) / 2, new))
         if (new == x).all():
             break
         x = new
