@@ -460,20 +460,22 @@ def tagged_spans(data: np.ndarray, offsets: np.ndarray, tagger: Tagger) -> tuple
 
 
 def secrets(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_DOCUMENTS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_DOCUMENTS,
+    tagger: Tagger | None = None,
 ) -> DataFrame:
     """doc_id and `spans` of each document: kind, start, end in characters, by start and then kind.
 
     Kinds `assign`, `access` and `hex` are the fixed patterns. `tagged` are spans that a conditional
-    random field adds, where no fixed pattern has one. It is fitted on a bounded sample of documents
-    (`train`) and decodes every whole text as one chain.
+    random field adds, where no fixed pattern has one. It is `tagger`, or else fitted on a bounded
+    sample of the documents (`train`), and decodes every whole text as one chain.
 
     A null text is an empty one; without words a text has no spans. A very long text is one chain,
     too. Rows that repeat an id or a text are scanned each, equal texts have equal spans. Without a
     document that has a base span nothing is learnt and nothing added. No rows give no rows.
     Further columns are ignored.
     """
-    tagger = train(docs, text_of(text_col), most)
+    if tagger is None:
+        tagger = train(docs, text_of(text_col), most)
     kind = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
