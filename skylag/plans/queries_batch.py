@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from skylag import fixed
 from skylag.functions import dates, keys, measures, rules, text
-from skylag.operators import checks, delays, features, ranking, weather
+from skylag.operators import checks, delays, features, ranking, rule_tables, weather
 from skylag.plans import sql_views as sv
 from skylag.plans import views
 from skylag.plans.registry import query, rounded, rounds
@@ -281,13 +281,64 @@ _CORRECTED.insert([r[0] for r in _CORRECTED].index("EGLL"), ("UKBB", ("ukraine",
         FROM (SELECT doc_id, lower(trim(text)) AS key FROM documents)""",
 )
 def station_rules_on_texts(spark, sf):
-    """The whole rule table against whole texts."""
+    """The whole rule table against whole texts, in both orders of its rules, by one search."""
     keyed = views.table(spark, sf, "documents").select("doc_id", text.normalise("text").alias("key"))
-    return keyed.select(
-        "doc_id",
-        rules.classify("key").alias("station"),
-        rules.classify("key", strict_order=True).alias("station_strict"),
+    listed = rule_tables.rule_rows(spark, fixed.STATION_RULES)
+    ordered = rule_tables.rule_rows(spark, rules.specific_first()).select("term", F.col("priority").alias("first"))
+    found = rule_tables.rule_matches(keyed, listed.join(ordered, "term"), "doc_id", "key")
+    best = found.groupBy("doc_id").agg(
+        F.min_by("result", "first").alias("station"), F.min_by("result", "priority").alias("station_strict")
     )
+    return keyed.select("doc_id").join(best, "doc_id", "left")
+
+
+# terms of two tables: pieces of passages that documents repeat, and names that none has
+TABLE_RULES_SQL = """rules AS (
+  SELECT term, min(priority) AS priority, arg_min(result, priority) AS result FROM (
+    SELECT substr(lower(text), 5, 8) AS term, item_id AS priority, 'passage ' || item_id AS result FROM benchmark
+    UNION ALL SELECT lower(p_name), 1000000 + p_partkey, 'part ' || p_partkey FROM part)
+  GROUP BY term)"""
+
+
+def table_rules(spark, sf):
+    passages = views.table(spark, sf, "benchmark").select(
+        F.substring(F.lower("text"), 5, 8).alias("term"), F.col("item_id").alias("priority"),
+        F.concat(F.lit("passage "), F.col("item_id").cast("string")).alias("result"),
+    )
+    parts = views.table(spark, sf, "part").select(
+        F.lower("p_name").alias("term"), (F.col("p_partkey") + 1000000).alias("priority"),
+        F.concat(F.lit("part "), F.col("p_partkey").cast("string")).alias("result"),
+    )
+    rows = passages.unionByName(parts)
+    return rows.groupBy("term").agg(
+        F.min("priority").alias("priority"), F.min_by("result", "priority").alias("result")
+    )
+
+
+@query(
+    "rules_from_table",
+    f"""WITH {TABLE_RULES_SQL},
+    texts AS (SELECT doc_id, lower(trim(text)) AS key FROM documents),
+    found AS (SELECT doc_id, arg_min(result, priority) AS result
+              FROM texts JOIN rules ON contains(key, term) GROUP BY doc_id)
+    SELECT doc_id, result FROM texts LEFT JOIN found USING (doc_id)""",
+)
+def rules_from_table(spark, sf):
+    """The first rule of a table, which may have any number of them, whose term is in the text."""
+    keyed = views.table(spark, sf, "documents").select("doc_id", text.normalise("text").alias("key"))
+    return rule_tables.classify_by_table(keyed, table_rules(spark, sf), "doc_id", "key").select("doc_id", "result")
+
+
+@query(
+    "rule_matches",
+    f"""WITH {TABLE_RULES_SQL}
+    SELECT doc_id, term, priority, result FROM (SELECT doc_id, lower(trim(text)) AS key FROM documents)
+    JOIN rules ON contains(key, term)""",
+)
+def rule_matches(spark, sf):
+    """Every pair of a text and a rule whose term it contains."""
+    keyed = views.table(spark, sf, "documents").select("doc_id", text.normalise("text").alias("key"))
+    return rule_tables.rule_matches(keyed, table_rules(spark, sf), "doc_id", "key")
 
 
 @query(
