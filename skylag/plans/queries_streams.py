@@ -14,6 +14,7 @@ from skylag.plans.registry import query
 from skylag.session import work_path
 from skylag.sources import files
 from skylag.streaming import jobs, runs
+from skylag.streaming.first_rows import first_rows
 
 FEED_SCHEMA = T.StructType(
     [T.StructField("event_id", T.StringType()), *schemas.FEED_RECORD.fields]
@@ -160,6 +161,70 @@ def stream_dedup(spark, sf):
     return kept.select("station", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+@query(
+    "stream_first_rows",
+    f"""WITH {sv.METAR}
+    SELECT station_id AS station, instant AS ts, 3 * count(*) - 1 AS repeats
+    FROM metar WHERE instant IS NOT NULL GROUP BY ALL""",
+)
+def stream_first_rows(spark, sf):
+    """Each observation three times, none of them too late to be the first, and how many are dropped."""
+    observed = feeds.metar_typed(
+        feeds.metar_events(views.metar(event_stream(spark, sf)), ingested_at="now")
+    )
+    repeated = observed.filter(F.col("ts").isNotNull()).withColumn(
+        "poll", F.explode(F.sequence(F.lit(1), F.lit(3)))
+    )
+    with runs.state_on_disk(spark):
+        kept = runs.run_bounded(first_rows(repeated, "station", "ts", forget="2 hours"))
+    return kept.filter("is_first").select("station", F.col("ts").cast("timestamp_ntz").alias("ts"), "repeats")
+
+
+# flights and observations of the events: the larger half of the numbers observes
+FLIGHTS_SQL = f"""{sv.EVENTS},
+flights AS (SELECT event_id AS flight, event_type AS station, ts FROM ev WHERE k < 50),
+seen AS (SELECT event_type AS station, ts AS observed_at, value AS temp_c FROM ev WHERE k >= 50)"""
+
+
+def flights_and_weather(rows):
+    flights = rows.filter("k < 50").select(F.col("event_id").alias("flight"), F.col("event_type").alias("station"), "ts")
+    return flights, rows.filter("k >= 50").select(F.col("event_type").alias("station"), "ts", F.col("value").alias("temp_c"))
+
+
+def _joined(df):
+    return df.select(
+        "flight", "station", F.col("ts").cast("timestamp_ntz").alias("ts"),
+        F.col("observed_at").cast("timestamp_ntz").alias("observed_at"), "temp_c",
+    )
+
+
+@query(
+    "flights_weather_join",
+    f"""WITH {FLIGHTS_SQL}
+    SELECT flight, f.station, f.ts, observed_at, temp_c FROM flights f LEFT JOIN seen s
+      ON s.station = f.station AND observed_at BETWEEN f.ts - INTERVAL 30 MINUTE AND f.ts""",
+)
+def flights_weather_join(spark, sf):
+    """Flights with the observations of the half hour before, as tables."""
+    return _joined(jobs.join_recent_weather(*flights_and_weather(views.events(spark, sf)), reach="30 minutes"))
+
+
+@query(
+    "stream_flights_weather_join",
+    f"""WITH {FLIGHTS_SQL},
+    closed AS (SELECT least((SELECT max(ts) FROM flights), (SELECT max(observed_at) FROM seen))
+                      - INTERVAL 2 HOUR AS until)
+    SELECT flight, f.station, f.ts, observed_at, temp_c FROM flights f LEFT JOIN seen s
+      ON s.station = f.station AND observed_at BETWEEN f.ts - INTERVAL 30 MINUTE AND f.ts
+    WHERE observed_at IS NOT NULL OR f.ts <= (SELECT until FROM closed)""",
+)
+def stream_flights_weather_join(spark, sf):
+    """The same as two streams: flights without weather wait until the watermark has passed them."""
+    flights, _ = flights_and_weather(event_stream(spark, sf))
+    _, observed = flights_and_weather(event_stream(spark, sf))
+    return _joined(runs.run_bounded(jobs.join_recent_weather(flights, observed, reach="30 minutes")))
+
+
 @query(
     "stream_static_weather_join",
     f"""WITH {sv.METAR},

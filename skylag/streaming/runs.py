@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
-from skylag.session import work_path
+from skylag.session import CLUSTER_CONF, work_path
 from skylag.sources.files import CSV_OPTIONS
 
 POLL = {"processingTime": "60 seconds"}
@@ -66,3 +69,15 @@ def console(df: DataFrame, rows: int = 20, **trigger):
         .trigger(**(trigger or POLL))
         .start()
     )
+
+
+@contextmanager
+def state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Streams that are started inside keep their keys on disk, as those of a cluster session do."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, CLUSTER_CONF[name])
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
