@@ -17,7 +17,7 @@ from skylag import fixed, schemas
 from skylag.ml import training
 from skylag.operators import checks, delays, features, weather
 from skylag.session import build_session
-from skylag.sources import files, stations
+from skylag.sources import files, stations, tables
 
 DAILY, MONTHLY, ENTITY = "daily_delays", "monthly_delays", "entity_delays"
 HOURLY, STATION_DAY, REGION_DAY = (
@@ -33,7 +33,7 @@ def read_table(
     spark: SparkSession, out: str, name: str, first: date | None = None, last: date | None = None
 ) -> DataFrame:
     """A table of the batch job. With dates, only the years between them are opened."""
-    rows = spark.read.parquet(f"{out.rstrip('/')}/{name}")
+    rows = tables.read_table(spark, f"{out.rstrip('/')}/{name}")
     if first is not None:
         rows = rows.filter((F.col(YEAR) >= first.year) & (F.col(fixed.DATE) >= F.lit(first)))
     if last is not None:
@@ -42,12 +42,12 @@ def read_table(
 
 
 def _save(df: DataFrame, out: str, name: str, by_year: bool = False) -> DataFrame:
-    """Replace a table, or those of its years that `df` has, and read it back."""
+    """Replace a table, or of a dated one the days from the first to the last of `df`, and open it."""
     path = f"{out.rstrip('/')}/{name}"
     if by_year:
-        files.replace_parquet(df.withColumn(YEAR, F.year(fixed.DATE)), path, (YEAR,))
+        tables.replace_table(df.withColumn(YEAR, F.year(fixed.DATE)), path, (YEAR,), within=fixed.DATE)
     else:
-        files.replace_parquet(df, path)
+        tables.replace_table(df, path)
     return read_table(df.sparkSession, out, name)
 
 

@@ -12,7 +12,7 @@ from skylag.plans import sql_views as sv
 from skylag.plans import views
 from skylag.plans.registry import query
 from skylag.session import work_path, written
-from skylag.sources import archives, files, stations
+from skylag.sources import archives, files, stations, tables
 from skylag.streaming.jobs import board_lines
 
 ORDERS = T.StructType(
@@ -94,21 +94,22 @@ def parquet_scan(spark, sf):
 
 @query(
     "parquet_sink_overwrite",
-    """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,
-              CASE WHEN year(o_orderdate) >= 1998 THEN 'second' ELSE 'first' END AS run
+    """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderdate AS DATE) AS day,
+              CASE WHEN year(o_orderdate) >= 1998 THEN 'second'
+                   WHEN o_orderdate >= DATE '1997-02-10' AND o_orderdate < DATE '1997-04-01' THEN 'third'
+                   ELSE 'first' END AS run
        FROM orders""",
 )
 def parquet_sink_overwrite(spark, sf):
-    """Write all years, then replace some of them; the others stay."""
+    """Write all years, then replace some of them, and then a part of one; all else stays."""
     path = work_path(spark, "table")
     rows = views.table(spark, sf, "orders").select(
-        "o_orderkey", F.year("o_orderdate").alias("year")
+        "o_orderkey", F.year("o_orderdate").alias("year"), F.col("o_orderdate").cast("date").alias("day")
     )
-    files.replace_parquet(rows.withColumn("run", F.lit("first")), path, ("year",))
-    files.replace_parquet(
-        rows.filter("year >= 1998").withColumn("run", F.lit("second")), path, ("year",)
-    )
-    return spark.read.parquet(path).select("o_orderkey", "year", "run")
+    spring = F.col("day").between("1997-02-10", "1997-03-31")
+    for run, part in (("first", F.lit(True)), ("second", F.col("year") >= 1998), ("third", spring)):
+        tables.replace_table(rows.filter(part).withColumn("run", F.lit(run)), path, ("year",), within="day")
+    return tables.read_table(spark, path).select("o_orderkey", "year", "day", "run")
 
 
 @query(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timedelta
 from functools import reduce
 from operator import or_
@@ -131,31 +130,6 @@ def write_csv(df: DataFrame, path: str, compression: str = "none", mode: str = "
     df.write.options(**CSV_OPTIONS, compression=compression).mode(mode).csv(path)
 
 
-def replace_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Replace a table's files. With partition columns only the partitions in `df` change.
-
-    New files are written beside the old ones, and take their place once all are complete: a job
-    that fails leaves the old table as it was. Partition values are gathered before the write, so
-    that each gets few, large files; a partition too large for one task is split by AQE.
-    """
-    if partition_by:
-        rows = df.hint("rebalance", *map(F.col, partition_by))
-        out = rows.write.mode("overwrite").partitionBy(*partition_by)
-        out.option("partitionOverwriteMode", "dynamic").parquet(path)
-        return
-    path, mark = path.rstrip("/"), uuid.uuid4().hex
-    fresh, old = f"{path}-new-{mark}", f"{path}-old-{mark}"
-    df.write.parquet(fresh)
-    spark = df.sparkSession
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    store = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if store.exists(at(path)):
-        store.rename(at(path), at(old))
-    if not store.rename(at(fresh), at(path)):
-        raise OSError(f"cannot put {fresh} in the place of {path}")
-    store.delete(at(old), True)
-
-
 def ignore_bad_utf8(line: Column) -> Column:
     """Text without the bytes that are not UTF-8; valid text is returned as it is."""
     # a replacement character that was in the text already is kept aside

@@ -40,7 +40,7 @@ def test_all_steps(spark, path, capsys):
     batch.run(spark, "all", flights, weather, f"{path}/out")
     printed = capsys.readouterr().out
     assert "rmse" in printed and "test rows" in printed
-    rows = {n: spark.read.parquet(f"{path}/out/{n}").count()
+    rows = {n: batch.read_table(spark, f"{path}/out", n).count()
             for n in (batch.DAILY, batch.MONTHLY, batch.ENTITY, batch.HOURLY, batch.STATION_DAY, batch.REGION_DAY)}
     assert rows == {batch.DAILY: 180, batch.MONTHLY: 2, batch.ENTITY: 3, batch.HOURLY: 1920,
                     batch.STATION_DAY: 80, batch.REGION_DAY: 40}
@@ -52,18 +52,6 @@ def test_all_steps(spark, path, capsys):
     assert scored.filter("prediction IS NULL").count() == 0
 
 
-def test_a_failed_job_leaves_the_old_table(spark, path):
-    import pytest
-
-    files.replace_parquet(spark.range(5), f"{path}/t")
-    broken = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("stop")).cast("long")).otherwise(F.col("id")).alias("id"))
-    with pytest.raises(Exception, match="stop"):
-        files.replace_parquet(broken, f"{path}/t")
-    assert spark.read.parquet(f"{path}/t").count() == 5
-    files.replace_parquet(spark.range(7), f"{path}/t")
-    assert spark.read.parquet(f"{path}/t").count() == 7
-
-
 def test_dated_tables_are_read_by_year(spark, path):
     from datetime import date
 
@@ -85,7 +73,7 @@ def test_bad_lines_become_a_table(spark, path, capsys):
     batch.run(spark, "delays", [*flights, f"{path}/more.csv"], "", f"{path}/out", keep_bad_lines=True)
     assert "flights: 1 bad lines left out" in capsys.readouterr().out
     assert batch.read_table(spark, f"{path}/out", batch.DAILY).count() == 181
-    assert "x7" in spark.read.parquet(f"{path}/out/flights_bad_lines").first().bad_line
+    assert "x7" in batch.read_table(spark, f"{path}/out", "flights_bad_lines").first().bad_line
 
 
 def test_weather_from_payloads(spark, path):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from skylag import fixed, schemas
-from skylag.sources import archives, files, kafka, stations
+from skylag.sources import archives, files, kafka, stations, tables
 
 SMALL = T.StructType(
     [
@@ -55,16 +55,6 @@ def test_csv_keeps_texts(spark, path, compression):
     assert [r.a for r in got] == texts
 
 
-def test_replace_parquet_keeps_other_partitions(spark, path):
-    first = spark.createDataFrame([(1, 2025), (2, 2026)], "v int, year int")
-    files.replace_parquet(first, f"{path}/t", ("year",))
-    files.replace_parquet(spark.createDataFrame([(3, 2026)], "v int, year int"), f"{path}/t", ("year",))
-    assert sorted(map(tuple, spark.read.parquet(f"{path}/t").collect())) == [(1, 2025), (3, 2026)]
-    files.replace_parquet(first, f"{path}/u")
-    files.replace_parquet(first.limit(1), f"{path}/u")
-    assert spark.read.parquet(f"{path}/u").count() == 1
-
-
 # --- tab-separated event log ---------------------------------------------------------------
 
 N = len(fixed.EVENT_LOG_FIELDS)
@@ -248,7 +238,7 @@ def test_zip_code_needs_no_package_on_the_workers(tmp_path):
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": ""})
 
 
-def test_batch_job_starts_from_another_folder(tmp_path):
+def test_batch_job_starts_from_another_folder(spark, tmp_path):
     import subprocess
     import sys
     from pathlib import Path
@@ -269,4 +259,5 @@ def test_batch_job_starts_from_another_folder(tmp_path):
         cwd=tmp_path, capture_output=True, text=True, timeout=240,
     )
     assert done.returncode == 0, done.stderr[-2000:]
-    assert (tmp_path / "out" / "daily_delays" / "_SUCCESS").exists()
+    rows = tables.read_table(spark, str(tmp_path / "out" / "daily_delays")).collect()
+    assert [(str(r.date), r.ENTITY_NAME, r.total_flights) for r in rows] == [("2025-02-01", "Poland", 12)]
