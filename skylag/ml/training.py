@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression
@@ -253,6 +256,59 @@ def one_feature_line(df: DataFrame, x: str, y: str, **regression) -> PipelineMod
     return build_pipeline(df, [x], y, **regression).fit(df)
 
 
+@dataclass
+class GramRidge:
+    """A ridge regression in closed form: one coefficient a column, and the intercept."""
+
+    columns: list[str]
+    coefficients: list[float]
+    intercept: float
+
+    def predict(self, df: DataFrame, output: str = "prediction") -> DataFrame:
+        """Null where a feature is null."""
+        terms = [F.col(c).cast("double") * F.lit(b) for c, b in zip(self.columns, self.coefficients)]
+        return df.withColumn(output, reduce(add, terms, F.lit(self.intercept)))
+
+
+def gram_ridge(df: DataFrame, columns: list[str], label: str, reg: float = fixed.REGRESSION["regParam"]) -> GramRidge:
+    """The fit of `LinearRegression` without iterations: sums of products in one pass, solved once.
+
+    Features and label are scaled to unit deviation, and the penalty is given in label units, as there.
+    Sums are taken about the first row's values, which keeps them small; rows with a null in a feature or
+    the label are left out. Constant features have coefficient 0. The driver gets one row of
+    (k + 1)(k + 4) / 2 numbers for k features, and solves k equations.
+    """
+    names = [*columns, label]
+    rows = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(names)]).na.drop()
+    first = rows.first()
+    k = len(columns)
+    if first is None:
+        raise ValueError("no rows to fit")
+    x = [F.col(f"_{i}") - F.lit(first[i]) for i in range(k + 1)]
+    pairs = [(i, j) for i in range(k + 1) for j in range(i + 1)]
+    sums = rows.agg(
+        F.count("*").alias("n"), *[F.sum(x[i]).alias(f"s{i}") for i in range(k + 1)],
+        *[F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in pairs],
+    ).first()
+    mean = np.array([sums[f"s{i}"] for i in range(k + 1)]) / sums["n"]
+    gram = np.zeros((k + 1, k + 1))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = sums[f"p{i}_{j}"] / sums["n"] - mean[i] * mean[j]
+    deviation = np.sqrt(np.maximum(np.diag(gram), 0))
+    live = np.flatnonzero(deviation[:k] > 1e-12 * np.maximum(1, np.abs(mean[:k])))
+    beta = np.zeros(k)
+    if deviation[k] > 0 and len(live):
+        scale = deviation[live]
+        correlation = gram[np.ix_(live, live)] / np.outer(scale, scale)
+        right = gram[live, k] / (scale * deviation[k])
+        penalty = np.eye(len(live)) * (reg / deviation[k])
+        solved = np.linalg.lstsq(correlation + penalty, right, rcond=None)[0]
+        beta[live] = solved * deviation[k] / scale
+    base = np.array(first[:k], float)
+    intercept = mean[k] + first[k] - float(beta @ (mean[:k] + base))
+    return GramRidge(list(columns), [float(b) for b in beta], float(intercept))
+
+
 def ridge_slope(slope: float, label_deviation: float, reg: float) -> float:
     """The one-feature ridge slope that belongs to an unregularised slope.
 

@@ -33,6 +33,36 @@ def decode_json(
     )
 
 
+def decode_or_reject(
+    messages: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = (),
+    observe: str = "",
+) -> DataFrame:
+    """A row for each message: its fields, `decoded`, and in `rejected` the text that did not decode.
+
+    The messages that `decode_json` drops are kept beside the others, so one write, partitioned by
+    `decoded`, gives both outputs, and each message is parsed once. Bytes that are not UTF-8 are shown
+    as replacement characters. With `observe`, the counts of messages, decoded and rejected are metrics
+    of that name, which a query reports for each batch.
+    """
+    body = F.col(value).cast("string")
+    whole = F.is_valid_utf8(body) & body.rlike(r"(?s)^\s*\{.*\}\s*$")
+    listed = F.when(whole, F.concat(F.lit("["), body, F.lit("]")))
+    parsed = F.from_json(listed, T.ArrayType(schema), {"allowSingleQuotes": "false"})
+    single = F.flatten(F.filter(F.array(parsed), lambda records: F.size(records) == 1))
+    # an unfolded list of no or one record, as in decode_json, but one row even for none
+    rows = messages.select(*keep, F.make_valid_utf8(body).alias("_body"), F.explode_outer(single).alias("_record"))
+    decoded = F.isnotnull("_record")
+    out = rows.select(
+        *keep, "_record.*", decoded.alias("decoded"), F.when(~decoded, F.coalesce("_body", F.lit(""))).alias("rejected")
+    )
+    if observe:
+        out = out.observe(
+            observe, F.count("*").alias("messages"), F.count_if("decoded").alias("decoded"),
+            F.count_if(~F.col("decoded")).alias("rejected"),
+        )
+    return out
+
+
 def json_messages(df: DataFrame, key: Column, topic, fields: list[str] | None = None) -> DataFrame:
     """Rows as (key, value, topic) messages; `topic` may differ per row. Nulls stay in the JSON."""
     names = fields or df.columns
@@ -102,6 +132,81 @@ def record_columns(records: DataFrame, schema=schemas.FEED_RECORD, record="recor
     )
 
 
+def variant_records(messages: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON messages as a variant column `record`. What is not UTF-8 or not one JSON object is dropped."""
+    body = F.col(value).cast("string")
+    parsed = F.try_parse_json(F.when(F.is_valid_utf8(body), body))
+    # unfolded instead of filtered, so that each message is parsed once
+    single = F.filter(F.array(parsed), lambda r: F.schema_of_variant(r).startswith("OBJECT"))
+    return messages.select(*keep, F.explode(single).alias("record"))
+
+
+def open_schema(records: DataFrame, record: str = "record") -> T.StructType:
+    """The fields of variant records as the data has them, in code point order.
+
+    All tasks merge the types of their records; one merged type is fetched. Numbers with a fraction
+    are doubles. A field that is nested, or of different types in different records, is text (JSON).
+    Fields whose names differ in capitals only cannot be columns beside each other; the first one is
+    taken, and the others stay among the rest.
+    """
+    found = records.filter(_fields_of(record).isNotNull()).select(F.schema_of_variant_agg(record)).first()[0]
+    if not found or not found.upper().startswith("OBJECT<"):
+        return T.StructType()
+    kind = T.DataType.fromDDL(found.replace("OBJECT<", "STRUCT<"))
+    plain = (T.StringType, T.LongType, T.DoubleType, T.BooleanType, T.DateType, T.TimestampType)
+    fields: dict[str, T.StructField] = {}
+    for field in sorted(kind.fields, key=lambda f: f.name):
+        data_type = field.dataType
+        if isinstance(data_type, (T.DecimalType, T.FloatType)):
+            data_type = T.DoubleType()
+        elif not isinstance(data_type, plain):
+            data_type = T.StringType()
+        fields.setdefault(field.name.lower(), T.StructField(field.name, data_type))
+    return T.StructType(list(fields.values()))
+
+
+def _fields_of(record) -> Column:
+    return F.try_variant_get(record, "$", "map<string,variant>")
+
+
+def open_columns(
+    records: DataFrame, schema: T.StructType | None = None, record: str = "record", rest: str = "rest"
+) -> DataFrame:
+    """All fields of variant records as columns: those of `schema`, and the others as JSON in `rest`.
+
+    Without `schema` it is found in the records, in a pass of its own, so nothing has to be declared. A
+    field that came up after the schema was found, or whose value does not fit its column, is in
+    `rest`, so no field is lost. A record that is not an object has only nulls and itself in `rest`.
+    """
+    if schema is None:
+        schema = open_schema(records, record)
+    kept = [c for c in records.columns if c != record]
+    rows = records.select(*kept, F.col(record).alias("_record"), _fields_of(record).alias("_fields"))
+
+    def value(field: T.StructField) -> Column:
+        cell = F.col("_fields")[F.lit(field.name)]
+        if isinstance(field.dataType, T.StringType):
+            nested = F.schema_of_variant(cell).rlike("^(OBJECT|ARRAY)")
+            return F.when(nested, F.to_json(cell)).otherwise(F.try_variant_get(cell, "$", "string"))
+        return F.try_variant_get(cell, "$", field.dataType.simpleString())
+
+    names = schema.fieldNames()
+    typed = rows.withColumns({f"_value_{i}": value(f) for i, f in enumerate(schema.fields)})
+    # a value that is there, but not in its column
+    misfit = [
+        F.when(F.isnull(f"_value_{i}") & F.isnotnull(F.col("_fields")[n]) & ~F.is_variant_null(F.col("_fields")[n]), F.lit(n))
+        for i, n in enumerate(names)
+    ]
+    left = F.array_compact(F.array(*misfit)) if names else F.array().cast("array<string>")
+    known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    others = F.map_filter("_fields", lambda n, _: ~F.array_contains(known, n) | F.array_contains(left, n))
+    return typed.select(
+        *kept, *[F.col(f"_value_{i}").alias(n) for i, n in enumerate(names)],
+        F.when(F.isnull("_fields"), F.to_json("_record"))
+        .when(F.size(others) > 0, F.to_json(others, {"ignoreNullFields": "false"})).alias(rest),
+    )
+
+
 def provenance(
     threshold: int = fixed.FEED_THRESHOLD_MINUTES,
     kind: str = fixed.FEED_TYPE,
@@ -148,22 +253,22 @@ def delayed_at_least(df: DataFrame, minutes: int, kind: str, delay: str, kind_co
 
 
 def csv_documents(documents: DataFrame, value: str = "value") -> DataFrame:
-    """Small CSV documents, each with its own header, to one row per line.
+    """Small CSV documents, each with its own header, to one row per record.
 
     The new column `record` maps column names to texts. Columns may come in any order; of two
-    with one name the last counts; a short line has nulls; an empty document has no rows.
+    with one name the last counts; a short record has nulls; an empty document has no rows. A line
+    end inside quotes belongs to its cell.
     """
     kept = [c for c in documents.columns if c != value]
     body = F.btrim(F.col(value), F.lit(text.BLANKS + text.LINE_ENDS))
-    lines = F.split(body, f"\r\n|[{text.LINE_ENDS}]")
+    # runs without a line end, where quoted parts may hold some; a quote that never closes is a character
+    lines = F.regexp_extract_all(body, F.lit(f'(?:[^"{text.LINE_ENDS}]++|"[^"]*+"|")++'), F.lit(0))
     parts = documents.select(
         *kept,
         text.cells(F.get(lines, F.lit(0)), ",").alias("_names"),
         F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0))).alias("_lines"),
     )
-    rows = parts.select(*kept, "_names", F.explode("_lines").alias("_line")).filter(
-        F.length("_line") > 0
-    )
+    rows = parts.select(*kept, "_names", F.explode("_lines").alias("_line"))
     split = rows.select(*kept, "_names", text.cells(F.col("_line"), ",").alias("_cells"))
     last = F.reverse("_names")
     names = F.array_distinct("_names")

@@ -30,14 +30,17 @@ YEAR = "table_year"
 
 
 def read_table(
-    spark: SparkSession, out: str, name: str, first: date | None = None, last: date | None = None
+    spark: SparkSession, out: str, name: str, first: date | None = None, last: date | None = None,
+    years: list[int] | None = None,
 ) -> DataFrame:
-    """A table of the batch job. With dates, only the years between them are opened."""
+    """A table of the batch job. With dates, only the years between them are opened; or only `years`."""
     rows = tables.read_table(spark, f"{out.rstrip('/')}/{name}")
     if first is not None:
         rows = rows.filter((F.col(YEAR) >= first.year) & (F.col(fixed.DATE) >= F.lit(first)))
     if last is not None:
         rows = rows.filter((F.col(YEAR) <= last.year) & (F.col(fixed.DATE) <= F.lit(last)))
+    if years is not None:
+        rows = rows.filter(F.col(YEAR).isin(years)) if years else rows.limit(0)
     return rows.drop(YEAR)
 
 

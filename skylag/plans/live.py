@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from skylag import fixed, schemas
 from skylag.functions import text
-from skylag.operators import feeds, weather
+from skylag.operators import feeds
 from skylag.plans import batch
 from skylag.session import build_session
 from skylag.sources import archives, files, kafka
@@ -79,31 +79,25 @@ SHOWN = {
 
 
 def delay_records(messages: DataFrame) -> DataFrame:
-    """Delayed flights as flat rows for CSV: nested fields are JSON texts."""
-    return feeds.nested_to_json(feeds.decode_json(messages, schemas.FEED_RECORD))
-
-
-def enriched(messages: DataFrame, hourly: DataFrame, salts: int = 1) -> DataFrame:
-    """Weather messages as typed observations with the hourly weather of their station."""
-    observed = feeds.metar_typed(feeds.decode_json(messages, schemas.METAR_EVENT))
-    return jobs.join_hourly_weather(observed, weather.station_hour(hourly), salts)
+    """Delayed flights as flat rows for CSV: nested fields are JSON texts, and undeclared ones are JSON
+    in `rest`, so no field of a message is lost."""
+    return feeds.nested_to_json(feeds.open_columns(feeds.variant_records(messages), schemas.FEED_RECORD))
 
 
 def enrich_batch(out: str, tables: str):
     """Writes one batch of weather messages with the weather of their stations' hours.
 
     The table is opened anew for each batch, so a batch sees what the batch job has replaced since,
-    and reads only the years of its own dates. It is an ordinary join, so AQE splits a hot station
+    and reads only the years that its dates lie in. It is an ordinary join, so AQE splits a hot station
     hour. A batch that is repeated after a failure replaces its own folder.
     """
 
     def write(messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
         observed = feeds.metar_typed(feeds.decode_json(messages, schemas.METAR_EVENT))
-        days = observed.agg(F.min("date").alias("first"), F.max("date").alias("last")).first()
-        hours = batch.read_table(spark, tables, batch.STATION_HOUR, days["first"], days["last"])
-        if days["first"] is None:
-            hours = hours.limit(0)
+        # one wrong date opens one year more, not all years up to it
+        years = [r["y"] for r in observed.select(F.year("date").alias("y")).distinct().collect() if r["y"] is not None]
+        hours = batch.read_table(spark, tables, batch.STATION_HOUR, years=years)
         joined = jobs.join_hourly_weather(observed, hours)
         joined.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
 

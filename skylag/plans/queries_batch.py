@@ -146,6 +146,18 @@ def monthly_delay_from_daily(spark, sf):
     return delays.monthly_from_daily(views.daily(spark, sf))
 
 
+@query(
+    "delay_levels",
+    " UNION ALL BY NAME ".join([
+        f"SELECT 'day' AS level, * FROM (WITH {sv.DAILY} SELECT * FROM daily)", f"SELECT 'month' AS level, * FROM ({MONTHLY_SQL})",
+        f"SELECT 'entity' AS level, * FROM ({ENTITY_SQL})",
+    ]),
+)
+def delay_levels(spark, sf):
+    """Day, month and entity delays by one pass over the facts."""
+    return delays.all_levels(views.prepared(spark, sf))
+
+
 @query("entity_delay_ranking", f"{ENTITY_SQL} ORDER BY total_delay DESC, 1, 2")
 def entity_delay_ranking(spark, sf):
     return delays.rank_entities(delays.by_entity(views.prepared(spark, sf)))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from skylag import fixed
 from skylag.ml import training
+from skylag.ml.table_index import TableIndexer, TableIndexerModel
 from skylag.operators import ranking
 from skylag.plans import sql_views as sv
 from skylag.plans import views
@@ -239,6 +240,43 @@ def ridge_fit(spark, sf):
     return _line_row(spark, sf, regParam=5000.0)
 
 
+# two features: correlations and the closed form of their two equations
+GRAM_SQL = """WITH m AS (
+  SELECT stddev_pop(l_quantity) AS s1, stddev_pop(l_discount) AS s2, stddev_pop(l_extendedprice) AS sy,
+    corr(l_quantity, l_discount) AS c, corr(l_quantity, l_extendedprice) AS r1, corr(l_discount, l_extendedprice) AS r2,
+    avg(l_quantity) AS m1, avg(l_discount) AS m2, avg(l_extendedprice) AS my FROM lineitem),
+d AS (SELECT *, 1 + 500.0 / sy AS a FROM m),
+b AS (SELECT *, (a * r1 - c * r2) / (a * a - c * c) * sy / s1 AS b1, (a * r2 - c * r1) / (a * a - c * c) * sy / s2 AS b2 FROM d)
+SELECT l_orderkey, l_linenumber, round(my + b1 * (l_quantity - m1) + b2 * (l_discount - m2), 3) AS prediction
+FROM lineitem, b"""
+
+
+@query("ridge_gram_predict", GRAM_SQL)
+def ridge_gram_predict(spark, sf):
+    """A whole ridge fit from sums of products, and its prediction for each row."""
+    rows = views.table(spark, sf, "lineitem")
+    model = training.gram_ridge(rows, ["l_quantity", "l_discount"], "l_extendedprice", reg=500.0)
+    return rounded(model.predict(rows).select("l_orderkey", "l_linenumber", "prediction"), digits=3)
+
+
+@query(
+    "string_index_table",
+    """WITH ranked AS (
+         SELECT c, row_number() OVER (ORDER BY n DESC, c) - 1 AS i
+         FROM (SELECT CAST(o_custkey AS VARCHAR) AS c, count(*) AS n FROM orders WHERE o_orderkey % 3 > 0 GROUP BY 1))
+       SELECT o_orderkey, CAST(coalesce(i, (SELECT count(*) FROM ranked)) AS DOUBLE) AS customer_index
+       FROM orders LEFT JOIN ranked ON c = CAST(o_custkey AS VARCHAR)""",
+)
+def string_index_table(spark, sf):
+    """Index of many labels, fitted on two thirds of the orders, saved, loaded and applied to all."""
+    orders = views.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    path = work_path(spark, "indexer")
+    TableIndexer(inputCol="customer", outputCol="customer_index").fit(
+        orders.filter("o_orderkey % 3 > 0")
+    ).save(path)
+    return TableIndexerModel.load(path).transform(orders).select("o_orderkey", "customer_index")
+
+
 @query(
     "model_sink",
     f"""SELECT l_orderkey, l_linenumber, round(slope * l_quantity + intercept, 2) AS prediction

@@ -219,6 +219,20 @@ def csv_sink(spark, sf):
     return files.scan_csv(spark, path, schemas.BOARD_ROW)
 
 
+@query(
+    "csv_sink_line_ends",
+    """SELECT doc_id, text, source || '\n"' || lang || '",' || chr(13) || chr(10) AS tag FROM documents""",
+)
+def csv_sink_line_ends(spark, sf):
+    """Whole texts with line ends, quotes and separators in their cells, through a CSV and back."""
+    path = work_path(spark, "texts")
+    rows = views.table(spark, sf, "documents").select(
+        "doc_id", "text", F.concat("source", F.lit('\n"'), "lang", F.lit('",\r\n')).alias("tag")
+    )
+    files.write_csv(rows, path)
+    return files.scan_csv(spark, path, rows.schema)
+
+
 @query(
     "metar_csv_decode",
     f"""WITH {sv.METAR}

@@ -8,11 +8,11 @@ from pyspark.sql import types as T
 from skylag import fixed, schemas
 from skylag.functions import text
 from skylag.operators import feeds, weather
+from skylag.plans import batch, live, views
 from skylag.plans import sql_views as sv
-from skylag.plans import views
 from skylag.plans.registry import query
 from skylag.session import work_path
-from skylag.sources import files
+from skylag.sources import files, tables
 from skylag.streaming import jobs, runs
 from skylag.streaming.first_rows import first_rows
 
@@ -50,6 +50,23 @@ def kafka_json_source(spark, sf):
     )
 
 
+@query(
+    "kafka_json_rejects",
+    f"""WITH {sv.FEED}
+    SELECT 'key-' || CAST(event_id AS VARCHAR) AS key, topic, decodable AS decoded,
+      CASE WHEN NOT decodable
+           THEN substr('{{"event_id":' || CAST(event_id AS VARCHAR) || ',"flight_iata":null,', 1, 25) END AS rejected,
+      CASE WHEN decodable THEN delay END AS delay
+    FROM feed_ok""",
+)
+def kafka_json_rejects(spark, sf):
+    """Every message: what decoded and, from the same pass, the text of what did not."""
+    rows = feeds.decode_or_reject(
+        message_stream(spark, sf), schemas.FEED_RECORD, keep=("key", "topic"), observe="decoding"
+    )
+    return runs.run_bounded(rows.select("key", "topic", "decoded", "rejected", "delay"))
+
+
 @query(
     "kafka_json_sink",
     """SELECT event_type || '-' || CAST(user_id AS VARCHAR) AS key,
@@ -88,6 +105,49 @@ def flatten_csv_sink(spark, sf):
     return files.scan_csv(spark, runs.land(flat, "flat", "csv"), flat.schema)
 
 
+OPEN_SQL = """SELECT event_id, event_type, user_id,
+  CASE WHEN event_type IN ('click', 'view') THEN value END AS measured,
+  CASE WHEN event_type = 'view' THEN '{"deep":[' || CAST(user_id AS VARCHAR) || ',"x"]}' END AS detail,
+  CASE event_type WHEN 'click' THEN CAST(user_id AS VARCHAR) WHEN 'view' THEN 'word' END AS mixed,
+  CASE event_type WHEN 'error' THEN '{"late field":' || CAST(user_id AS VARCHAR) || '}'
+                  WHEN 'signup' THEN '{"measured":"none"}' END AS rest
+FROM events"""
+
+
+def open_records(rows):
+    """Records as JSON whose fields differ by event type."""
+    kind = F.col("event_type")
+    user = F.col("user_id")
+
+    def when(*kinds):
+        return kind.isin(*kinds)
+
+    record = F.to_json(F.struct(
+        "event_id", "event_type", "user_id",
+        F.when(when("click", "view"), F.col("value")).alias("measured"),
+        F.when(when("view"), F.struct(F.array(user.cast("string"), F.lit("x")).alias("deep"))).alias("detail"),
+    ))
+    # what one declared schema cannot write: numbers and words in one field, a field of other records
+    body = F.expr("substring(_record, 1, length(_record) - 1)")
+    extra = (
+        F.when(when("click"), F.concat(F.lit(',"mixed":'), user.cast("string")))
+        .when(when("view"), F.lit(',"mixed":"word"'))
+        .when(when("error"), F.concat(F.lit(',"late field":'), user.cast("string")))
+        .when(when("signup"), F.lit(',"measured":"none"')).otherwise(F.lit(""))
+    )
+    deep = F.regexp_replace(F.concat(body, extra, F.lit("}")), r'"deep":\["(\d+)"', r'"deep":[$1')
+    return rows.withColumn("_record", record).select(F.parse_json(deep).alias("record"), kind.alias("kind"))
+
+
+@query("open_feed_columns", OPEN_SQL)
+def open_feed_columns(spark, sf):
+    """Columns as the data has them. Two kinds of records come after the schema was found: a field that
+    they alone have, and a word in a number's place, are in the rest."""
+    records = open_records(views.table(spark, sf, "events"))
+    schema = feeds.open_schema(records.filter(~F.col("kind").isin("error", "signup")))
+    return feeds.open_columns(records.select("record"), schema)
+
+
 @query(
     "multi_topic_subscribe",
     f"""WITH {sv.FEED}
@@ -234,25 +294,26 @@ def stream_flights_weather_join(spark, sf):
              sum(CAST(k % 7 AS DOUBLE)) AS hour_precipitation,
              max(floor(value) + k) AS hour_wind_gusts
       FROM ev WHERE k % 3 <> 2 GROUP BY ALL)
-    SELECT m.raw_text, CAST(m.temp_c AS DOUBLE) AS temp_c, h.hour_temperature,
+    SELECT m.station_id AS station, m.instant AS ts, CAST(m.temp_c AS DOUBLE) AS temp_c, h.hour_temperature,
            h.hour_precipitation, h.hour_wind_gusts
     FROM metar m LEFT JOIN station_hours h ON h.station = m.station_id
          AND h.date = CAST(m.instant AS DATE) AND h.hour = hour(m.instant)""",
 )
 def stream_static_weather_join(spark, sf):
-    """Observations as a stream, hourly weather (not for every hour) as a table."""
+    """The enrich job: weather messages as a stream, hourly weather (not for every hour) as a table."""
     hours = views.hourly(spark, sf).filter("snowfall IS NOT NULL")
     shift = F.make_dt_interval(F.lit(views.WEATHER_SHIFT_DAYS))
     static = weather.station_hour(hours.withColumn("time", F.col("time") + shift))
-    raw = views.metar(event_stream(spark, sf))
-    observed = feeds.metar_typed(feeds.metar_events(raw, ingested_at="now"), "raw_text")
-    joined = jobs.join_hourly_weather(observed, static, salts=4)
-    return runs.run_bounded(
-        joined.select(
-            "raw_text", "temp_c", "hour_temperature", "hour_precipitation", "hour_wind_gusts"
-        )
+    path = work_path(spark, "enrich")
+    tables.replace_table(
+        static.withColumn(batch.YEAR, F.year("date")), f"{path}/tables/{batch.STATION_HOUR}", (batch.YEAR,)
+    )
+    messages = feeds.weather_messages(feeds.metar_events(views.metar(event_stream(spark, sf)), ingested_at="now"))
+    live.enrich(messages, f"{path}/out", f"{path}/tables", f"{path}/state", **runs.BOUNDED).awaitTermination()
+    return spark.read.parquet(f"{path}/out").select(
+        "station", F.col("ts").cast("timestamp_ntz").alias("ts"), "temp_c",
+        "hour_temperature", "hour_precipitation", "hour_wind_gusts",
     )
-
 
 
 @query(

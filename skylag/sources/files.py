@@ -22,6 +22,8 @@ CSV_OPTIONS = {
 }
 # Written as "", an empty text differs from a null; Spark reads both as null without this.
 _EMPTY = chr(0xFDD1)  # never used in text
+# Written for a line end inside a cell: Spark splits files at line ends, quoted or not.
+_LINE_ENDS = {"\n": chr(0xFDD2), "\r": chr(0xFDD3)}  # never used in text
 _BAD_CHARACTER = "\N{REPLACEMENT CHARACTER}"
 _KEPT_CHARACTER = chr(0xFDD0)  # never used in text
 
@@ -46,6 +48,28 @@ def _whole_number(cell: Column, kind: T.DataType) -> tuple[Column, Column]:
     return value, F.isnotnull(cell) & (F.trim(cell) != "") & F.isnull(value)
 
 
+def _with_line_ends(cell: Column) -> Column:
+    for end, mark in _LINE_ENDS.items():
+        cell = F.replace(cell, F.lit(mark), F.lit(end))
+    return cell
+
+
+def one_line_cells(df: DataFrame) -> DataFrame:
+    """Texts with a mark in place of each line end, so that a record of a CSV file is one line.
+
+    `scan_csv` puts the line ends back. Files stay splittable, whatever their cells hold.
+    """
+    def marked(name: str) -> Column:
+        cell = F.col(f"`{name}`")
+        for end, mark in _LINE_ENDS.items():
+            cell = F.replace(cell, F.lit(end), F.lit(mark))
+        return cell.alias(name)
+
+    return df.select(*[
+        marked(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`") for f in df.schema.fields
+    ])
+
+
 def scan_csv(
     spark: SparkSession,
     path: str,
@@ -103,7 +127,7 @@ def scan_csv(
             return F.when(bad, fault.cast(field.dataType)).otherwise(value).alias(field.name)
         if not isinstance(field.dataType, T.StringType):
             return cell
-        return F.when(cell == _EMPTY, F.lit("")).otherwise(cell).alias(field.name)
+        return F.when(cell == _EMPTY, F.lit("")).otherwise(_with_line_ends(cell)).alias(field.name)
 
     columns = [column(f) for f in schema.fields]
     if bad_lines:
@@ -127,7 +151,8 @@ def scan_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "none", mode: str = "errorifexists"):
-    df.write.options(**CSV_OPTIONS, compression=compression).mode(mode).csv(path)
+    """CSV with a header. Line ends inside cells are marked, see `one_line_cells`."""
+    one_line_cells(df).write.options(**CSV_OPTIONS, compression=compression).mode(mode).csv(path)
 
 
 def ignore_bad_utf8(line: Column) -> Column:

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 from skylag.session import CLUSTER_CONF, work_path
-from skylag.sources.files import CSV_OPTIONS
+from skylag.sources.files import CSV_OPTIONS, one_line_cells
 
 POLL = {"processingTime": "60 seconds"}
 BOUNDED = {"availableNow": True}
@@ -28,7 +28,7 @@ def file_stream(spark: SparkSession, path: str, schema, **options) -> DataFrame:
 def start(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", **trigger):
     """Append a stream to files of a format. The trigger is a 60 second poll by default."""
     return (
-        df.writeStream.format(fmt)
+        (one_line_cells(df) if fmt == "csv" else df).writeStream.format(fmt)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .options(**(CSV_OPTIONS if fmt == "csv" else {}))
@@ -81,3 +81,13 @@ def state_on_disk(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def observed(query, name: str) -> dict[str, int]:
+    """The metrics of that name, summed over the batches a query still reports."""
+    out: dict[str, int] = {}
+    for progress in query.recentProgress:
+        row = (progress.get("observedMetrics") or {}).get(name)
+        for key, value in (row.asDict() if row is not None else {}).items():
+            out[key] = out.get(key, 0) + value
+    return out

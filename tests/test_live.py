@@ -38,17 +38,11 @@ def test_weather_from_files_to_lines_and_table(spark, tmp_path):
         ("[EDDF] 2026-05-01T13:20:00Z 7C ",), ("[EPWA] 2020-05-01T13:20:00Z 12.5C ",),
         ("[EPWA] bad 1C ",),
     ]
-    hourly = spark.createDataFrame(
-        [("EPWA", datetime(2020, 5, 1, 13), 11.0, 0.5, 20.0)],
-        "icao string, time timestamp, temperature_2m double, precipitation double, wind_gusts_10m double",
-    )
-    joined = live.enriched(messages, hourly).select("station", "temp_c", "hour_temperature")
-    assert rows(joined) == [("EDDF", 7.0, None), ("EPWA", 1.0, None), ("EPWA", 12.5, 11.0)]
 
 
 def test_delays_from_files_to_csv_rows(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    records = [{"flight_iata": "LO1", "dep_iata": {"x": 1}, "_source": "mine"}, {"arrival_iata": "WAW"}, {}]
+    records = [{"flight_iata": "LO1", "dep_iata": {"x": 1}, "_source": "mine"}, {"arrival_iata": "WAW", "gate": [1, "B"]}, {}]
     (tmp_path / "in" / "a.json").write_text(json.dumps({"response": {"flights": records}}, indent=1))
     (tmp_path / "in" / "b.json").write_text("{bad")
     messages = runs.run_bounded(live.delays_out(spark, str(tmp_path / "in")))
@@ -58,6 +52,9 @@ def test_delays_from_files_to_csv_rows(spark, tmp_path):
     assert bodies[2].keys() == {"_source", "_fetched_at", "_airlabs_delay_threshold", "_airlabs_type"}
     flat = live.delay_records(messages)
     assert all(kind == "string" for _, kind in flat.dtypes) and flat.count() == 3
+    got = {r.arrival_iata: (r.dep_iata, r.rest) for r in flat.collect()}
+    assert got["WAW"] == (None, '{"gate":[1,"B"]}')
+    assert sorted(r.dep_iata for r in flat.filter("dep_iata IS NOT NULL").collect()) == ['{"x":1}']
 
 
 def test_boards_from_files(spark, tmp_path):
