@@ -255,7 +255,7 @@ def fit(index: np.ndarray, tags: np.ndarray, used: np.ndarray, epochs: int = 12,
     for _ in range(epochs):
         for rows in np.array_split(order.permutation(n), max(1, n // batch)):
             weights, after, first = (part.reshape(shape) for part, shape in zip(np.split(theta, cuts), ((FEATURES, 3), (3, 3), (3,))))
-            x, y, m = index[rows], tags[rows], used[rows]
+            x, y, m = index[rows].astype(np.int32), tags[rows], used[rows]
             live = np.arange(length)[None, :] < m[:, None]
             emission = weights[x].sum(2)
             move = np.exp(after + barred)
@@ -420,27 +420,27 @@ def train(docs: DataFrame, text: Column, most: int = MAX_DOCUMENTS, window: int
                 for index, tags in _windows(value.encode(), int(key[:12], 16), window):
                     rows.append((key, index.ravel(), tags))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1].astype(np.int16) for r in rows], pa.list_(pa.int16())),
                  pa.array([r[2].astype(np.int8) for r in rows], pa.list_(pa.int8()))],
                 ["key", "index", "tags"],
             )
 
     # copies of a text are one example
     chosen = marked.join(F.broadcast(sample), "key").groupBy("key").agg(F.first("text").alias("text"))
-    got = chosen.mapInArrow(shown, "key string, index array<int>, tags array<tinyint>").toArrow()
-    got = sorted(
-        zip(got.column("key").to_pylist(), got.column("tags").to_pylist(), got.column("index").to_pylist()),
-        key=lambda r: (r[0], r[1], r[2]),
-    )
-    if not any(BEGIN in r[1] for r in got):
+    got = chosen.mapInArrow(shown, "key string, index array<smallint>, tags array<tinyint>").toArrow()
+    keys_of, flat_tags, flat_index = (got.column(c).combine_chunks() for c in ("key", "tags", "index"))
+    size = flat_tags.value_lengths().to_numpy()
+    if not len(size) or not (flat_tags.flatten().to_numpy() == BEGIN).any():
         return None
-    kinds = len(got[0][2]) // len(got[0][1])
-    index = np.zeros((len(got), window, kinds), np.int32)
-    tags, used = np.zeros((len(got), window), np.int8), np.zeros(len(got), np.int64)
-    for i, (_, tag, flat) in enumerate(got):
-        used[i] = len(tag)
-        tags[i, : len(tag)] = tag
-        index[i, : len(tag)] = np.array(flat, np.int32).reshape(kinds, len(tag)).T
+    kinds = len(flat_index.flatten()) // int(size.sum())
+    # an order that does not depend on how rows were dealt to tasks
+    order = sorted(range(len(size)), key=lambda i: (keys_of[i].as_py(), flat_index[i].values.to_numpy().tobytes()))
+    index = np.zeros((len(size), window, kinds), np.int16)
+    tags, used = np.zeros((len(size), window), np.int8), np.zeros(len(size), np.int64)
+    for i, row in enumerate(order):
+        k = used[i] = size[row]
+        tags[i, :k] = flat_tags[row].values.to_numpy()
+        index[i, :k] = flat_index[row].values.to_numpy().reshape(kinds, k).T
     return fit(index, tags, used)
 
 
