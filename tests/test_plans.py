@@ -22,8 +22,9 @@ def exchanges(df):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(catalog.QUERIES["parquet_scan"](spark, SF))
-    assert "GreaterThanOrEqual(l_shipdate" in text
+    rows = catalog.QUERIES["parquet_scan"](spark, SF)
+    text = plan(rows.filter(F.col("l_orderkey") >= 1000))
+    assert "GreaterThanOrEqual(l_orderkey,1000)" in text
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_linenumber:int" in text or (
         "l_extendedprice" not in text
     )
@@ -69,3 +70,30 @@ def test_cluster_state_store(spark, path):
         assert runs.run_bounded(jobs.drop_repeats(stream, "k", "ts")).count() == 9
     finally:
         spark.conf.set(name, before)
+
+
+def test_a_limit_takes_its_bound_from_the_order_columns(spark, path):
+    from skylag.operators import ranking
+
+    rows = spark.range(60_000).select(
+        (F.col("id") * 7919 % 60_000).alias("id"), F.when(F.col("id") % 1000 > 0, F.col("id") % 50).alias("ts"), F.lit("x" * 50).alias("payload")
+    )
+    rows.write.parquet(f"{path}/t")
+    table = spark.read.parquet(f"{path}/t")
+    expected = sorted(((r.ts is not None, r.ts, r.id) for r in table.collect()), key=lambda v: (v[0], v[1] or 0, v[2]))
+    for n in (1, 40, 3_000, 59_999, 60_000, 70_000):
+        got = ranking.limit_records(table, n, "ts", "id").collect()
+        assert sorted(((r.ts is not None, r.ts, r.id) for r in got), key=lambda v: (v[0], v[1] or 0, v[2])) == expected[:n]
+    bound = ranking._bound(table, 3_000, ["ts", "id"])
+    kept = table.filter(ranking._until(table, ["ts", "id"], bound))
+    assert 3_000 <= kept.count() < 9_000
+    assert "PushedFilters: [Or(IsNull(ts),LessThanOrEqual(ts" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_scan_reads_the_columns_asked_for_and_pushes_filters(spark):
+    from skylag.plans import queries_sources
+
+    rows = queries_sources.parquet_scan(spark, "/root/testdata/sf0.001")
+    plan = rows.filter("l_quantity > 40")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:" in plan and "l_extendedprice" not in plan
+    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,40" in plan
