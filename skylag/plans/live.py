@@ -23,6 +23,7 @@ from skylag.plans import batch
 from skylag.session import build_session
 from skylag.sources import archives, files, kafka
 from skylag.streaming import jobs, runs
+from skylag.streaming.first_rows import first_rows
 
 WEATHER, DELAYS = "weather", "delays"
 # copies of one observation are first reduced in so many groups
@@ -32,10 +33,17 @@ SALTS = 16
 # --- landed files to messages -----------------------------------------------------------------
 
 
-def weather_out(spark: SparkSession, folder: str, salts: int = SALTS) -> DataFrame:
-    """METAR CSV files to messages, an observation that polls repeat only once."""
+def weather_out(spark: SparkSession, folder: str, salts: int = SALTS, forget: str = "") -> DataFrame:
+    """METAR CSV files to messages, an observation that polls repeat only once.
+
+    With `forget`, an observation is known until it has not come again for that time, however long
+    the polls repeat it.
+    """
     documents = spark.readStream.text(folder, wholetext=True)
     events = feeds.metar_events(feeds.metar_records(documents))
+    if forget:
+        kept = first_rows(events, "station_id", "observation_time", forget=forget)
+        return feeds.weather_messages(kept.filter("is_first"))
     # Keys expire by arrival time: a poll repeats an observation within the look-back, and no
     # observation is late, however old its own time is or whether it can be read at all.
     arrived = events.withColumn("_arrived", F.current_timestamp())
@@ -84,6 +92,26 @@ def delay_records(messages: DataFrame) -> DataFrame:
     return feeds.nested_to_json(feeds.open_columns(feeds.variant_records(messages), schemas.FEED_RECORD))
 
 
+def flights_with_weather(
+    delays: DataFrame, observations: DataFrame, station_field: str = "dep_icao", time_field: str = "dep_time_utc",
+    reach: str = "1 hour", late_by: str = fixed.METAR_LOOK_BACK,
+) -> DataFrame:
+    """Delayed flights of a topic with the observations of their airport in the time before departure.
+
+    Flights without an airport or a time that can be read are left out; they can meet nothing.
+    """
+    record = F.col("record")
+    flights = feeds.variant_records(delays, keep=("key",)).select(
+        F.col("key").alias("flight"), F.try_variant_get(record, f"$.{station_field}", "string").alias("station"),
+        F.try_variant_get(record, f"$.{time_field}", "string").try_cast("timestamp").alias("ts"),
+        F.try_variant_get(record, "$.delay", "string").try_cast("double").alias("delay"),
+    ).filter(F.isnotnull("station") & F.isnotnull("ts"))
+    seen = feeds.metar_typed(feeds.decode_json(observations, schemas.METAR_EVENT)).select(
+        "station", "ts", "temp_c", "wind_speed_kt"
+    ).filter(F.isnotnull("station") & F.isnotnull("ts"))
+    return jobs.join_recent_weather(flights, seen, reach, late_by)
+
+
 def enrich_batch(out: str, tables: str):
     """Writes one batch of weather messages with the weather of their stations' hours.
 
@@ -113,7 +141,7 @@ def enrich(messages: DataFrame, out: str, tables: str, checkpoint: str, **trigge
 
 def main() -> None:
     parser = argparse.ArgumentParser(description="Streaming jobs")
-    parser.add_argument("job", choices=["publish", "show", "save", "enrich"])
+    parser.add_argument("job", choices=["publish", "show", "save", "enrich", "match"])
     parser.add_argument("feed", nargs="?", default="weather", choices=sorted({*PUBLISHED, *SHOWN}))
     parser.add_argument("--servers", required=True)
     parser.add_argument("--input", help="landing folder of publish")
@@ -121,6 +149,8 @@ def main() -> None:
     parser.add_argument("--out", help="result folder of save and enrich")
     parser.add_argument("--checkpoint", help="folder that keeps the job's position")
     parser.add_argument("--max-per-trigger", type=int, default=0, help="messages of one batch at most")
+    parser.add_argument("--forget", default="", help="how long a published observation stays known after its last poll")
+    parser.add_argument("--reach", default="1 hour", help="age of the observations that match joins to a flight")
     parser.add_argument("--salts", type=int, default=SALTS, help="groups that reduce copies first")
     parser.add_argument("--state-partitions", type=int, default=200,
                         help="tasks of a stateful step, fixed for the life of a checkpoint")
@@ -134,7 +164,7 @@ def main() -> None:
     checkpoint = args.checkpoint or f"{base}/{args.job}-{args.feed}"
     if args.job == "publish":
         query = kafka.write_topics(
-            PUBLISHED[args.feed](spark, args.input, **({"salts": args.salts} if args.feed == "weather" else {})),
+            PUBLISHED[args.feed](spark, args.input, **({"salts": args.salts, "forget": args.forget} if args.feed == "weather" else {})),
             args.servers, checkpoint,
         )
     elif args.job == "show":
@@ -143,6 +173,11 @@ def main() -> None:
     elif args.job == "save":
         rows = delay_records(kafka.read_topics(spark, args.servers, (DELAYS,), max_per_trigger=args.max_per_trigger))
         query = runs.start(rows, args.out, checkpoint, "csv")
+    elif args.job == "match":
+        topics = [
+            kafka.read_topics(spark, args.servers, (t,), max_per_trigger=args.max_per_trigger) for t in (DELAYS, WEATHER)
+        ]
+        query = runs.start(flights_with_weather(*topics, reach=args.reach), args.out, checkpoint)
     else:
         messages = kafka.read_topics(
             spark, args.servers, (WEATHER,), max_per_trigger=args.max_per_trigger

@@ -84,7 +84,7 @@ def first_rows(
     time = F.col(arrived) if arrived else F.current_timestamp()
     # a hash tells rows of one arrival time apart, so that a batch that is repeated keeps the same row
     timed = (
-        df.withColumns({"_arrived": time.cast("timestamp"), "_order": F.xxhash64(*names)})
+        df.withColumns({"_arrived": time.cast("timestamp"), "_order": F.xxhash64(F.to_json(F.struct(*names)))})
         .withColumn("_arrived_ms", F.unix_millis("_arrived"))
     )
     if not df.isStreaming:

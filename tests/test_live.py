@@ -151,3 +151,33 @@ def test_enrich_sees_a_replaced_weather_table(spark, tmp_path):
     run(message("EPWA", "2026-05-01T13:40:00Z"))
     got = spark.read.parquet(str(tmp_path / "out")).select("batch", "hour_temperature")
     assert rows(got) == [(0, 5.0), (0, None), (1, 9.0)]
+
+
+def test_flights_of_a_topic_with_recent_weather(spark, tmp_path):
+    flights = [
+        {"flight_iata": "LO1", "dep_icao": "EPWA", "dep_time_utc": "2026-05-01 13:30", "delay": 40},
+        {"flight_iata": "LO2", "dep_icao": "EPWA", "dep_time_utc": "2026-05-01 16:00", "delay": "25"},
+        {"flight_iata": "LO3", "dep_icao": None, "dep_time_utc": "2026-05-01 13:30"}, {"dep_icao": "EPWA", "dep_time_utc": "soon"},
+    ]
+    seen = [
+        {"station_id": "EPWA", "observation_time": f"2026-05-01T{t}:00Z", "temp_c": c} for t, c in (("13:00", "7"), ("12:00", "3"), ("20:00", "1"))
+    ]
+    for name, rows_ in (("f", flights), ("w", seen)):
+        spark.createDataFrame([(str(i), json.dumps(r)) for i, r in enumerate(rows_)], "key string, value string").write.parquet(f"{tmp_path}/{name}")
+    later = [("9", json.dumps({**flights[0], "flight_iata": "LO9", "dep_time_utc": "2026-05-02 13:30"}))]
+    spark.createDataFrame(later, "key string, value string").write.mode("append").parquet(f"{tmp_path}/f")
+    streams = [spark.readStream.schema("key string, value string").parquet(f"{tmp_path}/{n}") for n in "fw"]
+    out = runs.run_bounded(live.flights_with_weather(*streams))
+    # the last one waits: the watermark of the observations has not passed it
+    assert rows(out.select("flight", "delay", "temp_c")) == [("0", 40.0, 7.0), ("1", 25.0, None)]
+
+
+def test_published_observations_are_known_while_polls_repeat_them(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for poll in range(2):
+        (tmp_path / "in" / f"p{poll}.csv").write_text(
+            "station_id,observation_time,temp_c\nEPWA,2020-05-01T13:20:00Z,1\nEPWA,bad,2\nEDDF,2020-05-01T13:20:00Z,3\n"
+        )
+    with runs.state_on_disk(spark):
+        messages = runs.run_bounded(live.weather_out(spark, str(tmp_path / "in"), forget="2 hours"))
+    assert rows(messages.select("key")) == [("EDDF|2020-05-01T13:20:00Z",), ("EPWA|2020-05-01T13:20:00Z",), ("EPWA|bad",)]
