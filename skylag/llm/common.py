@@ -26,6 +26,14 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, or with as many underscores before it as make it a name that `df` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """16 bytes that identify a row by id and text, nulls included."""
     return F.unhex(
@@ -45,9 +53,10 @@ def near_keys(
     def value(name):
         return F.pmod(F.xxhash64(name), F.lit(buckets)).cast("int")
 
-    kept = wanted.select(value(key).alias("__bucket")).distinct()
+    bucket = free_name(df, "__bucket")
+    kept = wanted.select(value(key).alias(bucket)).distinct()
     how = "left_anti" if others else "left_semi"
-    return df.join(F.broadcast(kept), value(key) == F.col("__bucket"), how)
+    return df.join(F.broadcast(kept), value(key) == F.col(bucket), how)
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

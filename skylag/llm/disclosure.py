@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import row_key, text_of
+from skylag.llm.common import free_name, row_key, text_of
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
@@ -258,9 +258,13 @@ def replace_spans(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with `text_col` sanitised and all their other columns; null stays null."""
+    """The documents with `text_col` sanitised and all their other columns; null stays null.
+
+    Empty texts stay as they are; rows that repeat id and text are equal afterwards. No rows give no rows.
+    """
+    key, spans, found_key = (free_name(docs, n) for n in ("_key", "_spans", "_found"))
     found = disclosures(docs, id_col, text_col).select(
-        F.col("_key").alias("_found"), F.concat("spans", "more").alias("_spans")
+        F.col("_key").alias(found_key), F.concat("spans", "more").alias(spans)
     )
 
     @F.pandas_udf("string")
@@ -273,10 +277,10 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             for t, s in zip(text, spans)
         ])
 
-    keyed = docs.withColumn("_key", row_key(id_col, text_col))
+    keyed = docs.withColumn(key, row_key(id_col, text_col))
     return (
-        keyed.join(found, keyed["_key"] == found["_found"], "left")
-        .withColumn(text_col, clean(text_col, "_spans")).select(*docs.columns)
+        keyed.join(found, keyed[key] == found[found_key], "left")
+        .withColumn(text_col, clean(text_col, spans)).select(*docs.columns)
     )
 
 

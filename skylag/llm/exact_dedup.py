@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import near_keys, text_of
+from skylag.llm.common import free_name, near_keys, text_of
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
@@ -91,24 +91,26 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Only documents that may have a copy are exchanged. Of rows that repeat both id and text one
     stays.
     """
+    # names that no column of the documents has
+    hashed, sha, size = (free_name(docs, n) for n in ("__hash", "__sha", "__n"))
     found = written(
         duplicate_groups(docs, id_col, text_col).filter("group_size > 1")
         .select(F.col("doc_id").alias("__id"), "text_sha256", "kept", F.col("_chars").alias("__chars"),
-                F.col("_hash").alias("__hash")),
+                F.col("_hash").alias(hashed)),
         "dedup-groups",
     )
     text = without_blanks(text_of(text_col))
-    rows = docs.withColumn("__hash", content_hash(text))
-    some = near_keys(rows, "__hash", found).withColumns({
-        "__sha": F.sha2(text, 256), "__n": F.char_length(text_of(text_col)).cast("long"),
+    rows = docs.withColumn(hashed, content_hash(text))
+    some = near_keys(rows, hashed, found).withColumns({
+        sha: F.sha2(text, 256), size: F.char_length(text_of(text_col)).cast("long"),
     })
     gone = found.filter(~F.col("kept")).select("__id", "text_sha256", "__chars").distinct()
     on = (
-        some[id_col].eqNullSafe(gone["__id"]) & (some["__sha"] == gone["text_sha256"])
-        & (some["__n"] == gone["__chars"])
+        some[id_col].eqNullSafe(gone["__id"]) & (some[sha] == gone["text_sha256"])
+        & (some[size] == gone["__chars"])
     )
-    best = some.join(gone, on, "left_anti").dropDuplicates([id_col, "__sha", "__n"])
-    single = near_keys(rows, "__hash", found, others=True)
+    best = some.join(gone, on, "left_anti").dropDuplicates([id_col, sha, size])
+    single = near_keys(rows, hashed, found, others=True)
     return single.select(*docs.columns).unionByName(best.select(*docs.columns))
 
 

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylag.llm.common import text_of
+from skylag.llm.common import free_name, text_of
 from skylag.llm.registry import documents, query
 from skylag.operators.ranking import global_rank
 from skylag.session import written
@@ -190,15 +190,17 @@ def mix(
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The documents with all their columns, each as often as the mix takes it.
 
-    Where rows repeat an id, all of them are taken as often as the id's rows together.
+    Where rows repeat an id, all of them are taken as often as the id's rows together. Documents
+    without words, null texts among them, stay once. No rows give no rows.
     """
+    ident, number, copy = (free_name(docs, n) for n in ("__id", "__copies", "__copy"))
     copies = (
-        mix(docs, id_col, **options).groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-        .filter("__copies > 0").withColumnRenamed("doc_id", "__id")
+        mix(docs, id_col, **options).groupBy(F.col("doc_id").alias(ident)).agg(F.max("copies").alias(number))
+        .filter(F.col(number) > 0)
     )
     return (
-        docs.join(copies, docs[id_col].eqNullSafe(copies["__id"]))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*docs.columns)
+        docs.join(copies, docs[id_col].eqNullSafe(copies[ident]))
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), number))).select(*docs.columns)
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skylag.llm.common import text_of
+from skylag.llm.common import free_name, text_of
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
@@ -243,11 +243,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                most: int = MAX_LABELLED) -> DataFrame:
-    """The documents that are not predicted toxic, with all their columns."""
+    """The documents that are not predicted toxic, with all their columns.
+
+    A null or empty text has the score of no evidence and stays, as all do where there is nothing to learn
+    from. Rows that repeat are judged each, alike. No rows give no rows.
+    """
     model = train(docs, labels, id_col, text_col, most)
-    return score(docs, model, text_col, "_toxic_score").filter(
-        F.col("_toxic_score") < THRESHOLD
-    ).select(*docs.columns)
+    name = free_name(docs, "_toxic_score")
+    return score(docs, model, text_col, name).filter(F.col(name) < THRESHOLD).select(*docs.columns)
 
 
 @query("op5_toxicity")

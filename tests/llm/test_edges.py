@@ -61,3 +61,30 @@ def test_stages(name, stage, llm, edges, empty, labels, tmp_path):
     if name == "ngram_jaccard":
         assert sorted((r.doc_id for r in rows), key=str) == sorted([1, 3, 4, 5, 6, 8, 12, None, None], key=str)
     assert stage(llm, empty, str(tmp_path)).collect() == []
+
+
+CLASHING = {
+    "toxic": lambda d, l: toxicity.drop_toxic(d, l), "exact": lambda d, l: exact_dedup.drop_duplicates(d),
+    "near": lambda d, l: near_join.drop_near_duplicates(d), "mix": lambda d, l: mixing.mixed_documents(d),
+    "sanitised": lambda d, l: disclosure.sanitised(d),
+}
+INTERNAL = ["_toxic_score", "__hash", "__sha", "__n", "__near_key", "__copies", "__id", "__copy", "_key", "_spans",
+            "_found", "__bucket", "_hash", "_row"]
+
+
+@pytest.mark.parametrize("name", CLASHING)
+def test_columns_with_names_used_inside_come_back_unchanged(name, llm, edges, labels):
+    from pyspark.sql import functions as F
+
+    plain = edges.select("doc_id", "text", "source")
+    marked = plain.withColumns({c: F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in INTERNAL})
+    out = CLASHING[name](marked, labels)
+    assert out.columns == marked.columns
+    rows = out.collect()
+    assert rows
+    for row in rows:
+        ident = "none" if row.doc_id is None else str(row.doc_id)
+        assert all(row[c] == f"{c}:{ident}" for c in INTERNAL)
+    # and the result is that without them
+    expected = CLASHING[name](plain, labels).collect()
+    assert sorted(map(str, (tuple(r)[:3] for r in rows))) == sorted(map(str, map(tuple, expected)))
