@@ -286,14 +286,25 @@ _CORRECTED = [r for r in fixed.STATION_RULES if r[0] != "UKBB"]
 _CORRECTED.insert([r[0] for r in _CORRECTED].index("EGLL"), ("UKBB", ("ukraine",)))
 
 
-@query(
-    "station_rules_on_texts",
-    f"""SELECT doc_id, CASE {_rules_case(_CORRECTED)} END AS station,
+STATION_TEXTS_SQL = f"""SELECT doc_id, CASE {_rules_case(_CORRECTED)} END AS station,
                CASE {_rules_case(fixed.STATION_RULES)} END AS station_strict
-        FROM (SELECT doc_id, lower(trim(text)) AS key FROM documents)""",
-)
+        FROM (SELECT doc_id, lower(trim(text)) AS key FROM documents)"""
+
+
+@query("station_rules_on_texts", STATION_TEXTS_SQL)
 def station_rules_on_texts(spark, sf):
-    """The whole rule table against whole texts, in both orders of its rules, by one search."""
+    """The whole rule table against whole texts."""
+    keyed = views.table(spark, sf, "documents").select("doc_id", text.normalise("text").alias("key"))
+    return keyed.select(
+        "doc_id",
+        rules.classify("key").alias("station"),
+        rules.classify("key", strict_order=True).alias("station_strict"),
+    )
+
+
+@query("station_rules_by_index", STATION_TEXTS_SQL)
+def station_rules_by_index(spark, sf):
+    """The same rules as a table, in both orders by one search of the texts."""
     keyed = views.table(spark, sf, "documents").select("doc_id", text.normalise("text").alias("key"))
     listed = rule_tables.rule_rows(spark, fixed.STATION_RULES)
     ordered = rule_tables.rule_rows(spark, rules.specific_first()).select("term", F.col("priority").alias("first"))
