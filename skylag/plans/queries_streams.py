@@ -139,8 +139,8 @@ def open_records(rows):
     return rows.withColumn("_record", record).select(F.parse_json(deep).alias("record"), kind.alias("kind"))
 
 
-@query("open_feed_columns", OPEN_SQL)
-def open_feed_columns(spark, sf):
+@query("feed_open_columns", OPEN_SQL)
+def feed_open_columns(spark, sf):
     """Columns as the data has them. Two kinds of records come after the schema was found: a field that
     they alone have, and a word in a number's place, are in the rest."""
     records = open_records(views.table(spark, sf, "events"))
