@@ -37,12 +37,14 @@ def _gram_scan(lengths: tuple[int, ...], wanted: bytes | None, buckets: int, odd
             if not len(text) or all_offsets[0] == all_offsets[-1]:
                 continue
             whole = np.frombuffer(text.buffers()[2], np.uint8)
-            first, rows, values = 0, [], []
+            first = 0
             while first < len(text):
-                # whole texts of about a quarter of a megabyte, so that arrays stay in the cache
+                # whole texts of about a quarter of a megabyte, so that arrays stay in the cache; what is
+                # found in them leaves at once, so that memory does not grow with the batch
                 end = max(first + 1, int(np.searchsorted(all_offsets, all_offsets[first] + (1 << 18), "right")) - 1)
                 offsets = all_offsets[first : end + 1] - all_offsets[first]
                 data = whole[all_offsets[first] : all_offsets[end]].astype(np.int64)
+                rows, values = [], []
                 for n in lengths:
                     value = data[: max(len(data) - n + 1, 0)].copy()
                     for k in range(1, n):
@@ -58,14 +60,15 @@ def _gram_scan(lengths: tuple[int, ...], wanted: bytes | None, buckets: int, odd
                     rows.append(row[inside] + first)
                     values.append(value[at[inside]])
                 first = end
-            row, found = np.concatenate(rows), np.concatenate(values)
-            order = np.lexsort((found, row))
-            row, found = row[order], found[order]
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row[new])), pa.array(found[new])], ["_id", "_gram"]
-            )
+                row, found = np.concatenate(rows), np.concatenate(values)
+                order = np.lexsort((found, row))
+                row, found = row[order], found[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (row[1:] != row[:-1]) | (found[1:] != found[:-1])
+                if len(row):
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(row[new])), pa.array(found[new])], ["_id", "_gram"]
+                    )
 
     return scan
 
