@@ -77,6 +77,15 @@ def daily(spark, sf_dir):
     return delays.daily(prepared(spark, sf_dir))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Small rows dealt to twice as many tasks as there are cores, before each grows to a long text.
+
+    A compressed table has few splits, or one more than there are cores, so that a few tasks would
+    write and parse all texts; a .gz file that such a task writes is also read by one task.
+    """
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def events(spark, sf_dir) -> DataFrame:
     """Events with the number in `props` and a UTC time stamp (watermarks need that type)."""
     return event_columns(table(spark, sf_dir, "events"))
@@ -304,7 +313,7 @@ def event_log_lines(events_view: DataFrame) -> DataFrame:
 
 def boards(spark, sf_dir) -> DataFrame:
     """One airport board per order, with one arrival and one departure; some levels missing."""
-    orders = table(spark, sf_dir, "orders").withColumn(
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey").withColumn(
         "at", F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
     )
     key = F.col("o_orderkey").cast("string")
