@@ -291,7 +291,8 @@ def _event_log(spark, sf):
     path = work_path(spark, "tsv")
     events = views.events(spark, sf)
     for n, kind in enumerate(("none", "gzip", "bzip2")):
-        part = views.event_log_lines(events.filter(F.pmod("event_id", F.lit(3)) == n))
+        part = views.spread(events.filter(F.pmod("event_id", F.lit(3)) == n), "event_id", "user_id")
+        part = views.event_log_lines(part)
         part.write.mode("append").text(path, compression=kind)
     return archives.scan_event_log(spark, path)
 
