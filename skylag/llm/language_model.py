@@ -275,7 +275,7 @@ def _trained(coded: DataFrame, unigram: np.ndarray, tokens: int) -> LogBilinear:
         for r in merged.toLocalIterator():
             at = np.frombuffer(r.at, np.int32) + r["first"]
             p[r.key][at] += np.frombuffer(r.moved, np.float32).reshape(p[r.key][at].shape)
-        known.unpersist()
+        known.destroy()  # the moves are written, so no task asks for this copy again
     return model
 
 
@@ -305,8 +305,10 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = max(RARE, -(-total // SELDOM))
     n_words = vocabulary.filter(F.col("n") >= least).count()
     top = vocabulary.orderBy(F.desc("n"), "word").limit(max(HEAD_WORDS, n_words)).toArrow()
-    words = [w.encode() for w in top.column("word").to_pylist()]
-    counts = np.array(top.column("n").to_pylist(), np.int64)
+    # one text of all words: they hold no blanks, and only tasks need them one by one
+    words = " ".join(top.column("word").to_pylist()).encode()
+    counts = top.column("n").to_numpy()
+    del top
     size = max(SIZE, n_words + WORD)
     other_n, other_v = row.n - int(counts[:n_words].sum()), row.v - n_words
     unigram = np.zeros(size)
@@ -315,7 +317,7 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held_words = docs.sparkSession.sparkContext.broadcast(words)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = {w: i for i, w in enumerate(held_words.value)}
+        head = {w: i for i, w in enumerate(held_words.value.split())}
         for batch in (part for whole in batches for part in portions(whole)):
             ids, lengths = _head_ids(_texts(batch), head)
             ids = np.where((ids < 0) | (ids >= n_words), OTHER, ids + WORD).astype(np.int32)
@@ -323,14 +325,16 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             codes = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(codes, pa.binary())], ["place", "codes"])
 
-    model = LogBilinear(unigram)
     if total:
         coded = written(training.mapInArrow(code, "place long, codes binary"), "lm-codes")
         model = _trained(coded, unigram, total)
+    else:
+        model = LogBilinear(unigram)
     known = docs.sparkSession.sparkContext.broadcast((unigram, model.p))
+    del model  # tasks have it; scanning and joining need none of it here
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = {w: i for i, w in enumerate(held_words.value)}
+        head = {w: i for i, w in enumerate(held_words.value.split())}
         model = LogBilinear(known.value[0], p=known.value[1])
         log_count = np.append(np.log10(counts + 1.0), 0.0)  # the last for words outside the head
         for batch in (part for whole in batches for part in portions(whole)):
