@@ -4,29 +4,37 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylag.llm.common import portions, text_of
+from skylag.llm.common import blocks, portions, text_of
 from skylag.llm.registry import documents, query
 from skylag.session import written
 
-# outcomes of the model: the end of a text, one for all rare words, then its words by their counts;
+# outcomes of the model's tree: the end of a text, the buckets of words that are not in the tree, of
+# which a small vocabulary needs one, for rare words, then the most frequent words by their counts;
 # a model has SIZE outcomes at least, and its size itself stands for what precedes a text
-END, OTHER, WORD, SIZE = 0, 1, 2, 128
+END, OTHER, SIZE = 0, 1, 128
 # words of fewer training occurrences are rare, and so are words of under one in SELDOM tokens
 RARE, SELDOM = 3, 1 << 25
 WIDTH, NOISE, BATCH, STEPS = 24, 64, 2048, 1000
 # all training tokens are drawn once, and in a small corpus again up to LEAST_DRAWS; a shard has
 # SHARD_TOKENS for each outcome, so that its copy of the model is small beside it
 LEAST_DRAWS, MOST_ROUNDS, SHARDS, SHARD_TOKENS = 2_000_000, 16, 4, 200
+# outcomes scored at a time, whose guesses stay in the processor's cache
+SCORED = 1 << 15
 # outcomes whose parameters are merged as one row
 CHUNK = 1 << 13
 # the most frequent words, whose counts every task has; all others meet their counts in a join
 HEAD_WORDS = 1 << 16
+# the most words in the tree, and the most buckets, of about BUCKET_WORDS words that are not rare or more
+TREE_WORDS, BUCKETS, BUCKET_WORDS = 1 << 16, 1 << 14, 64
+# words outside the head, in texts and in the vocabulary, that are worked on as one group
+SHELF = 1 << 17
 
 
 def tokens_of(text: str) -> list[bytes]:
@@ -57,17 +65,16 @@ def count_words(texts: DataFrame) -> DataFrame:
     )
 
 
-def outcomes(ids: np.ndarray, lengths: np.ndarray, n_words: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def outcomes(codes: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Outcomes of all texts, ends included, and the two outcomes before each.
 
-    `ids` are the words' places in the head, -1 outside it, of which the first `n_words` are words
-    of the model; `lengths` the words of each text.
+    `codes` are the outcomes of all words, `lengths` the words of each text.
     """
     ends = np.cumsum(lengths + 1) - 1
-    out = np.full(len(ids) + len(lengths), END)
+    out = np.full(len(codes) + len(lengths), END)
     at = np.ones(len(out), bool)
     at[ends] = False
-    out[at] = np.where((ids < 0) | (ids >= n_words), OTHER, ids + WORD)
+    out[at] = codes
     starts = ends - lengths
     one, two = np.concatenate(([size], out[:-1])), np.concatenate(([size, size], out[:-2]))[: len(out)]
     one[starts] = size
@@ -77,6 +84,16 @@ def outcomes(ids: np.ndarray, lengths: np.ndarray, n_words: int, size: int) -> t
     return out, one, two
 
 
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows by about half a million words, with the outcomes of their words and the words of each text."""
+    for batch in batches:
+        column = batch.column("codes").cast(pa.large_binary())
+        offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+        data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+        for first, end, codes, at in blocks(data, offsets, 2 << 20) if len(column) else ():
+            yield batch.slice(first, end - first), np.frombuffer(codes.tobytes(), np.int32).astype(np.int64), np.diff(at) // 4
+
+
 def _head_ids(texts: list[list[bytes]], head: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array([len(words) for words in texts], np.int64)
     get = head.get
@@ -84,6 +101,59 @@ def _head_ids(texts: list[list[bytes]], head: dict[bytes, int]) -> tuple[np.ndar
     return ids, lengths
 
 
+def _chance(x: np.ndarray) -> np.ndarray:
+    """The logistic function of -x, in place."""
+    with np.errstate(over="ignore"):  # beyond all numbers is a chance of zero
+        np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _sums_by_row(at: np.ndarray, g: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of `n` that `at` names, in order, and for each the sum of its lines of `g`."""
+    # places of two bytes are sorted by digits
+    order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
+    at = at.take(order)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    many = np.diff(first, append=len(at))
+    sums, again = g.take(order.take(first), axis=0), many > 1
+    if again.any():
+        lines = g.take(order[np.repeat(again, many)], axis=0)
+        many = many[again]
+        sums[again] = np.add.reduceat(lines, np.cumsum(many) - many)
+    return at.take(first), sums
+
+
+def _with_bias(q: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    return np.hstack((q.astype(float), bias.astype(float)[:, None]))
+
+
+def among_siblings(guess: np.ndarray, node: np.ndarray, above: np.ndarray, layer: np.ndarray, children) -> np.ndarray:
+    """Natural logs of the nodes' probabilities among their siblings, for rows in the order of `above`.
+
+    The last columns of `guess` and `layer` are one and the bias; `children` gives the first child
+    of a node above and the end of its children.
+    """
+    total = np.empty(len(node))
+    cuts = np.append(np.flatnonzero(np.diff(above, prepend=-1)), len(above)).tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        first, end = children(int(above[a]))
+        siblings = layer[first:end].T
+        for c in range(a, b, 2048):
+            d = min(b, c + 2048)
+            s = guess[c:d] @ siblings
+            mine = s[np.arange(d - c), node[c:d] - first]
+            top = s.max()
+            if top > 300 or s.min() < -300:  # no sum of the others could be told from zero or infinity
+                top = s.max(axis=1)
+                s -= top[:, None]
+            else:
+                top = 0.0
+            np.exp(s, out=s)
+            total[c:d] = mine - top - np.log(s.sum(axis=1))
+    return total
+
+
 class LogBilinear:
     """score(w | a, b) = q[w] . (C1 r[b] + C2 r[a]) + bias[w]; a, b are the outcomes before w.
 
@@ -92,11 +162,11 @@ class LogBilinear:
     its nodes among their siblings, so it is normalised in three sums over `fan` nodes.
     """
 
-    def __init__(self, unigram: np.ndarray, seed: int = 5, p: dict[str, np.ndarray] | None = None):
+    def __init__(self, unigram: np.ndarray, seed: int = 5, p: dict[str, np.ndarray] | None = None, layers: int = 3):
         size, rng = len(unigram), np.random.default_rng(seed)
         self.size, self.fan = size, int(np.ceil(size ** (1 / 3) - 1e-9))
         self.noise, counts = [], unigram + 1.0
-        for _ in range(3):
+        for _ in range(layers):
             self.noise.append(counts / counts.sum())
             counts = np.add.reduceat(counts, np.arange(0, len(counts), self.fan))
         if p is None:
@@ -110,40 +180,51 @@ class LogBilinear:
         self.log_noise = [np.log(NOISE * noise).astype(np.float32) for noise in self.noise]
         self.rng = rng
 
-    def _move(self, key: str, at: np.ndarray, g: np.ndarray, rate: float) -> None:
-        """Move rows of parameters by the sums of their gradients, less the more they have moved."""
-        order = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.diff(at[order], prepend=-1))
-        rows, g = at[order][first], np.add.reduceat(g[order], first)
-        self.square[key][rows] += (g * g).mean(axis=1) if g.ndim > 1 else g * g
-        step = rate / np.sqrt(self.square[key][rows])
-        self.p[key][rows] -= step[:, None] * g if g.ndim > 1 else step * g
+    def _move(self, q: str, bias: str | None, at: np.ndarray, g: np.ndarray, rate: float) -> None:
+        """Move rows of parameters by the sums of their gradients, less the more they have moved.
 
-    def step(self, out: np.ndarray, one: np.ndarray, two: np.ndarray, rate: float) -> None:
-        """One step of noise-contrastive estimation, on each layer of nodes.
+        The last column of `g` is that of the bias, if there is one.
+        """
+        rows, g = _sums_by_row(at, g, len(self.p[q]))
+        for key, g in ((q, g[:, :WIDTH]), (bias, g[:, WIDTH])) if bias else ((q, g),):
+            square = self.square[key].take(rows)
+            square += np.einsum("ij,ij->i", g, g) / WIDTH if g.ndim > 1 else g * g
+            self.square[key][rows] = square
+            step = rate / np.sqrt(square)
+            self.p[key][rows] -= step[:, None] * g if g.ndim > 1 else step * g
+
+    def contrast(self, out: np.ndarray, guess: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+        """What noise-contrastive estimation adds to the guesses, and the moves of each layer's nodes.
 
         The outcomes of a batch are told from NOISE nodes, drawn once for all of them.
         """
-        p = self.p
-        r1, r2 = p["r"][one], p["r"][two]
-        guess = r1 @ p["c1"] + r2 @ p["c2"]
-        to_guess = np.zeros_like(guess)
-        moves, node = [], out
-        for i in range(3):
-            q, bias = f"q{i}", f"bias{i}"
-            drawn = np.searchsorted(self.sums[i], self.rng.random(NOISE)).clip(0, len(self.sums[i]) - 1)
-            mine, others = p[q][node], p[q][drawn]
-            x = (mine * guess).sum(axis=1) + p[bias][node] - self.log_noise[i][node]
-            hit = 1 / (1 + np.exp(-np.clip(x, -30, 30))) - 1
-            x = guess @ others.T + (p[bias][drawn] - self.log_noise[i][drawn])
-            miss = 1 / (1 + np.exp(-np.clip(x, -30, 30)))
-            to_guess += hit[:, None] * mine + miss @ others
-            at = np.concatenate((node, drawn))
-            moves.append((q, at, np.concatenate((hit[:, None] * guess, miss.T @ guess))))
-            moves.append((bias, at, np.concatenate((hit, miss.sum(axis=0)))))
+        p, n = self.p, len(out)
+        guess = np.hstack((guess, np.ones((n, 1), np.float32)))
+        to_guess, moves, node = np.zeros((n, WIDTH), np.float32), [], out
+        for i, (sums, log_noise) in enumerate(zip(self.sums, self.log_noise)):
+            q, bias = p[f"q{i}"], p[f"bias{i}"]
+            drawn = np.searchsorted(sums, self.rng.random(NOISE)).clip(0, len(sums) - 1)
+            mine, others = q.take(node, axis=0), np.hstack((q[drawn], (bias[drawn] - log_noise[drawn])[:, None]))
+            hit = _chance(log_noise.take(node) - bias.take(node) - np.einsum("ij,ij->i", mine, guess[:, :WIDTH]))
+            hit -= 1
+            miss = _chance(guess @ -others.T)
+            mine *= hit[:, None]
+            to_guess += mine
+            to_guess += miss @ others[:, :WIDTH]
+            g = np.empty((n + NOISE, WIDTH + 1), np.float32)
+            np.multiply(guess, hit[:, None], out=g[:n])
+            np.matmul(miss.T, guess, out=g[n:])
+            moves.append((f"q{i}", f"bias{i}", np.concatenate((node, drawn)), g))
             node = node // self.fan
+        return to_guess, moves
+
+    def step(self, out: np.ndarray, one: np.ndarray, two: np.ndarray, rate: float) -> None:
+        """One step of noise-contrastive estimation, on each layer of nodes."""
+        p = self.p
+        r1, r2 = p["r"].take(one, axis=0), p["r"].take(two, axis=0)
+        to_guess, moves = self.contrast(out, r1 @ p["c1"] + r2 @ p["c2"])
         moves.append((
-            "r", np.concatenate((one, two)), np.concatenate((to_guess @ p["c1"].T, to_guess @ p["c2"].T))
+            "r", None, np.concatenate((one, two)), np.concatenate((to_guess @ p["c1"].T, to_guess @ p["c2"].T))
         ))
         for c, r in (("c1", r1), ("c2", r2)):
             g = r.T @ to_guess
@@ -161,27 +242,28 @@ class LogBilinear:
             self.step(out, rest % (self.size + 1), rest // (self.size + 1), 0.3 * (1 - i / steps) + 0.01)
         return self
 
-    def log10_of(self, out: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    def fixed(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """In double precision, what either outcome before adds to a guess, and each layer's q with its bias behind."""
+        p, one = self.p, np.ones((self.size + 1, 1))
+        r = p["r"].astype(float)
+        before = [np.hstack((r @ p["c1"].astype(float), one)), np.hstack((r @ p["c2"].astype(float), 0 * one))]
+        return before, [_with_bias(p[f"q{i}"], p[f"bias{i}"]) for i in range(3)]
+
+    def log10_of(self, out: np.ndarray, one: np.ndarray, two: np.ndarray, fixed: tuple | None = None) -> np.ndarray:
         """Normalised log10 probabilities of outcomes after two others, in double precision."""
-        p = {k: self.p[k].astype(float) for k in ("c1", "c2")}
-        total, node = np.zeros(len(out)), out
-        guess = self.p["r"][one].astype(float) @ p["c1"] + self.p["r"][two].astype(float) @ p["c2"]
-        for i in range(3):
-            q, bias = self.p[f"q{i}"], self.p[f"bias{i}"]
-            above = node // self.fan if i < 2 else np.zeros_like(node)
-            width = self.fan if i < 2 else len(q)
-            order = np.argsort(above, kind="stable")
-            cuts = np.append(np.flatnonzero(np.diff(above[order], prepend=-1)), len(order)).tolist()
-            for a, b in zip(cuts, cuts[1:]):
-                start = int(above[order[a]]) * width
-                child, base = q[start : start + width].T.astype(float), bias[start : start + width].astype(float)
-                for c in range(a, b, 8192):
-                    rows = order[c : min(b, c + 8192)]
-                    s = guess[rows] @ child + base
-                    mine = s[np.arange(len(rows)), node[rows] - start]
-                    top = s.max(axis=1)
-                    total[rows] += mine - top - np.log(np.exp(s - top[:, None]).sum(axis=1))
-            node = above
+        before, layers = fixed or self.fixed()
+        total, by_outcome = np.empty(len(out)), np.argsort(out, kind="stable")
+        for a in range(0, len(out), SCORED):
+            rows = by_outcome[a : a + SCORED]
+            guess = before[0][one[rows]]
+            guess += before[1][two[rows]]
+            node, some = out[rows], np.zeros(len(rows))
+            for i, layer in enumerate(layers):
+                above = node // self.fan if i < 2 else np.zeros_like(node)
+                width = self.fan if i < 2 else len(layer)
+                some += among_siblings(guess, node, above, layer, lambda x: (x * width, (x + 1) * width))
+                node = above
+            total[rows] = some
         return total / np.log(10)
 
     def log10_table(self) -> np.ndarray:
@@ -214,14 +296,8 @@ def _trained(coded: DataFrame, unigram: np.ndarray, tokens: int) -> LogBilinear:
             mine = LogBilinear(unigram, seed=7 + turn, p=start)
             met = {k: np.zeros(len(v), np.int64) for k, v in mine.p.items()}
             steps = 0
-            for batch in batches:
-                texts = [np.frombuffer(x.as_buffer(), np.int32).astype(np.int64) for x in batch.column("codes")]
-                if not texts:
-                    continue
-                ids = np.concatenate(texts)
-                lengths = np.array([len(x) for x in texts])
-                # codes are outcomes already: words keep their places, the others are moved below them
-                out, one, two = outcomes(ids - WORD, lengths, size - WORD, size)
+            for _, codes, lengths in _coded(batches):
+                out, one, two = outcomes(codes, lengths, size)
                 mixed_up = mine.rng.permutation(len(out))
                 for a in range(0, len(out), BATCH):
                     at = mixed_up[a : a + BATCH]
@@ -279,15 +355,74 @@ def _trained(coded: DataFrame, unigram: np.ndarray, tokens: int) -> LogBilinear:
     return model
 
 
+def _leaves(unigram: np.ndarray, out: np.ndarray, guess: np.ndarray, tokens: np.ndarray) -> LogBilinear:
+    """One layer of outcomes below guesses that stay as they are, trained by one pass over `tokens`, places in `out`."""
+    noise = (unigram + 1) / (unigram + 1).sum()
+    leaves = LogBilinear(unigram, 7, {"q0": np.zeros((len(unigram), WIDTH)), "bias0": np.log(noise)}, layers=1)
+    mixed_up = leaves.rng.permutation(tokens)
+    for a in range(0, len(mixed_up), BATCH):
+        at = mixed_up[a : a + BATCH]
+        for move in leaves.contrast(out[at], guess[at])[1]:
+            leaves._move(*move, 0.1 * (1 - a / len(mixed_up)) + 0.01)
+    return leaves
+
+
+def _in_buckets(
+    p: dict[str, np.ndarray], words: dict[str, np.ndarray], tokens: dict[str, np.ndarray], shelves: int, buckets: int, least: int
+) -> np.ndarray:
+    """log10 probabilities of tokens in their buckets, of which this shelf has every `shelves`-th one.
+
+    `words` has bucket and n of the shelf's vocabulary, by bucket, then falling n; `tokens` word
+    (its place there, -1 if unknown), bucket, one, two, held. In a bucket one outcome is for all
+    rare words, each of which has its add-one share of it, as has one unknown word.
+    """
+    places = buckets // shelves
+    place, n = words["bucket"] // shelves, words["n"]
+    own = np.flatnonzero(n >= least)
+    starts = np.concatenate(([0], np.cumsum(1 + np.bincount(place[own], minlength=places))))
+    outcome = starts[place]
+    outcome[own] = np.arange(len(own)) + place[own] + 1
+    unigram = np.bincount(outcome, n, minlength=starts[-1])
+    rare = np.bincount(place[n < least], minlength=places)
+    share = np.log10(unigram[starts[:-1]] + rare + 1)
+
+    at, word = tokens["bucket"] // shelves, tokens["word"]
+    out = starts[at]
+    out[word >= 0] = outcome[word[word >= 0]]
+    # in an order that does not depend on where the texts were
+    order = np.lexsort((tokens["held"], tokens["two"], tokens["one"], word, out))
+    out, at = out[order], at[order]
+    guess = p["r"].take(tokens["one"][order], axis=0) @ p["c1"] + p["r"].take(tokens["two"][order], axis=0) @ p["c2"]
+    leaves = _leaves(unigram, out, guess, np.flatnonzero(tokens["held"][order] == 0))
+    layer, log = _with_bias(leaves.p["q0"], leaves.p["bias0"]), np.empty(len(out))
+    for a in range(0, len(out), SCORED):
+        some = slice(a, a + SCORED)
+        double = np.hstack((guess[some].astype(float), np.ones((len(out[some]), 1))))
+        log[some] = among_siblings(double, out[some], at[some], layer, lambda x: (int(starts[x]), int(starts[x + 1])))
+    log /= np.log(10)
+    others = np.flatnonzero(out == starts[at])
+    word = word[order[others]]
+    counts = np.zeros(len(word))
+    counts[word >= 0] = n[word[word >= 0]]
+    log[others] += np.log10(counts + 1) - share[at[others]]
+    result = np.empty(len(out))
+    result[order] = log
+    return result
+
+
 def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     The vocabulary is counted over all training texts and stays a table. All its words but rare
-    ones are outcomes and contexts of the model, which is trained on all training texts, shard by
-    shard. A rare word has the probability of OTHER times its add-one share of all such words, so
-    probabilities of all known words and one unknown add up to one. Counts of the model's words,
-    or of the HEAD_WORDS most frequent ones, are in every task; other words are joined with the
-    vocabulary, one row per text and word.
+    ones are outcomes of the model, which is trained on all training texts, shard by shard. The
+    TREE_WORDS most frequent ones are in the tree that every task has; all others are dealt by
+    their hash to buckets, which are outcomes and contexts of the tree, and words in their bucket
+    are told apart by a layer of their own, trained and scored where the bucket's tokens and
+    vocabulary meet. So neither the driver nor a task holds more for a larger vocabulary. A rare
+    word has the probability of its bucket's outcome for rare words times its add-one share of
+    them, so probabilities of all known words and one unknown in each bucket add up to one; a
+    vocabulary that fits in the tree has one bucket, of rare words. Counts of the HEAD_WORDS most
+    frequent words are in every task; other words meet theirs with their bucket.
 
     A null text is empty and has one token, its end. A null id is not held out. Rows that repeat
     an id are scored each, and counted each. Without training texts every word is unknown and the
@@ -296,106 +431,184 @@ def language_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % 7 == 2, F.lit(False))
     texts = docs.select(
         F.col(id_col).alias("doc_id"), held.alias("held_out"), text_of(text_col).alias("text")
-    )
-    training = texts.filter(~F.col("held_out")).select("text", F.xxhash64("doc_id", "text").alias("place"))
+    ).withColumn("place", F.xxhash64("doc_id", "text"))
+    training = texts.filter(~F.col("held_out")).select("text")
     vocabulary = written(count_words(training), "lm-words")
     ends = training.count()
     row = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = row.n + ends, row.v + (ends > 0)
     least = max(RARE, -(-total // SELDOM))
     n_words = vocabulary.filter(F.col("n") >= least).count()
-    top = vocabulary.orderBy(F.desc("n"), "word").limit(max(HEAD_WORDS, n_words)).toArrow()
+    n_tree, buckets = min(n_words, TREE_WORDS), 1
+    while buckets < min(BUCKETS, (n_words - n_tree) / BUCKET_WORDS) or buckets == 1 and n_words > n_tree:
+        buckets *= 2
+    # where words are in buckets, all words outside the tree are
+    n_head = n_tree if buckets > 1 else max(HEAD_WORDS, n_tree)
+    top = vocabulary.orderBy(F.desc("n"), "word").limit(n_head).toArrow()
     # one text of all words: they hold no blanks, and only tasks need them one by one
     words = " ".join(top.column("word").to_pylist()).encode()
     counts = top.column("n").to_numpy()
+    outside = vocabulary.withColumn("bucket", F.crc32(F.col("word").cast("binary")))
+    if len(counts):
+        last = top.slice(len(counts) - 1).to_pylist()[0]
+        outside = outside.filter(
+            (F.col("n") < last["n"]) | (F.col("n") == last["n"]) & (F.col("word") > last["word"])
+        )
     del top
-    size = max(SIZE, n_words + WORD)
-    other_n, other_v = row.n - int(counts[:n_words].sum()), row.v - n_words
+    first_word = OTHER + buckets
+    size = max(SIZE, n_tree + first_word)
+    other_n, other_v = row.n - int(counts[:n_tree].sum()), row.v - n_tree
     unigram = np.zeros(size)
     unigram[[END, OTHER]] = ends, other_n
-    unigram[WORD : WORD + n_words] = counts[:n_words]
+    if buckets > 1:
+        unigram[OTHER] = 0
+        for r in outside.groupBy((F.col("bucket") % buckets).alias("b")).agg(F.sum("n").alias("n")).collect():
+            unigram[OTHER + r.b] = r.n
+    unigram[first_word : first_word + n_tree] = counts[:n_tree]
     held_words = docs.sparkSession.sparkContext.broadcast(words)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = {w: i for i, w in enumerate(held_words.value.split())}
-        for batch in (part for whole in batches for part in portions(whole)):
-            ids, lengths = _head_ids(_texts(batch), head)
-            ids = np.where((ids < 0) | (ids >= n_words), OTHER, ids + WORD).astype(np.int32)
-            cuts = np.concatenate(([0], np.cumsum(lengths))).tolist()
-            codes = [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column("place"), pa.array(codes, pa.binary())], ["place", "codes"])
-
-    if total:
-        coded = written(training.mapInArrow(code, "place long, codes binary"), "lm-codes")
-        model = _trained(coded, unigram, total)
-    else:
-        model = LogBilinear(unigram)
-    known = docs.sparkSession.sparkContext.broadcast((unigram, model.p))
-    del model  # tasks have it; scanning and joining need none of it here
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = {w: i for i, w in enumerate(held_words.value.split())}
-        model = LogBilinear(known.value[0], p=known.value[1])
         log_count = np.append(np.log10(counts + 1.0), 0.0)  # the last for words outside the head
         for batch in (part for whole in batches for part in portions(whole)):
             split = _texts(batch)
             ids, lengths = _head_ids(split, head)
-            out, one, two = outcomes(ids, lengths, n_words, size)
-            ends_at = np.cumsum(lengths + 1)
-            model_sum = np.add.reduceat(
-                model.log10_of(out, one, two), ends_at - lengths - 1
-            )
-            word_ends = np.cumsum(lengths)
+            unknown, other = np.flatnonzero(ids < 0), (ids < 0) | (ids >= n_tree)
             text_of_word = np.repeat(np.arange(len(lengths)), lengths)
-            log = log_count[ids]
-            outside = (ids < 0) | (ids >= n_words)
-
-            def per_text(values, mask=None):
-                if mask is None:
-                    return np.bincount(text_of_word, values, len(lengths)).astype(float)
-                return np.bincount(text_of_word[mask], values[mask], len(lengths)).astype(float)
-
-            rest = []
-            for i, (words_i, end, length) in enumerate(zip(split, word_ends, lengths)):
-                unknown = np.flatnonzero(ids[end - length : end] < 0)
-                found = Counter(words_i[j] for j in unknown.tolist())
-                rest.append([{"word": w.decode(), "tf": c} for w, c in found.items()])
+            every = [w for words in split for w in words]
+            rest = [every[i] for i in unknown.tolist()]
+            codes = np.where(other, OTHER, ids + first_word).astype(np.int32)
+            if buckets > 1:  # the buckets' outcomes take the place of shares of one
+                codes[unknown] += np.fromiter(map(crc32, rest), np.int64, len(rest)) % buckets
+                other[:] = False
+
+            def per_text(values, at=slice(None)):
+                return np.bincount(text_of_word[at], values[at], len(lengths)).astype(float)
+
+            n_rest = per_text(ids < 0).astype(np.int64)
+            cuts, ends_of_rest = np.concatenate(([0], np.cumsum(lengths))).tolist(), np.cumsum(n_rest).tolist()
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("held_out"),
-                    pa.array(lengths + 1), pa.array(per_text((ids >= 0).astype(float)).astype(np.int64)),
-                    pa.array(per_text(log)), pa.array(per_text(log, outside)),
-                    pa.array(per_text(outside.astype(float)).astype(np.int64)), pa.array(model_sum),
-                    pa.array(rest, pa.list_(pa.struct([("word", pa.string()), ("tf", pa.int64())]))),
+                    batch.column("doc_id"), batch.column("held_out"), batch.column("place"), pa.array(lengths + 1),
+                    pa.array(lengths - n_rest), pa.array(per_text(log_count[ids])),
+                    pa.array(per_text(log_count[ids], other)), pa.array(per_text(other).astype(np.int64)),
+                    pa.array([codes[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary()),
+                    pa.array([b" ".join(rest[a:b]) for a, b in zip([0, *ends_of_rest], ends_of_rest)], pa.binary()),
+                    pa.array(n_rest),
                 ],
-                ["doc_id", "held_out", "n_tokens", "head_known", "head_log", "outside_log", "outside",
-                 "model_sum", "rest"],
+                ["doc_id", "held_out", "place", "n_tokens", "head_known", "head_log", "other_log", "other",
+                 "codes", "rest", "n_rest"],
             )
 
     id_type = docs.schema[id_col].dataType.simpleString()
+    kept = f"doc_id {id_type}, held_out boolean, %sn_tokens long, head_known long, head_log double, other_log double, other long"
+    coded = written(
+        texts.mapInArrow(code, kept % "place long, " + ", codes binary, rest binary, n_rest long")
+        .withColumn("_row", F.monotonically_increasing_id()),
+        "lm-codes",
+    )
+    if total:
+        model = _trained(coded.filter(~F.col("held_out")).select("place", "codes"), unigram, total)
+    else:
+        model = LogBilinear(unigram)
+    known = docs.sparkSession.sparkContext.broadcast((unigram, model.p))
+    del model  # tasks have it; scanning and joining need none of it here
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = LogBilinear(known.value[0], p=known.value[1])
+        fixed = model.fixed()
+        for part, codes, lengths in _coded(batches):
+            out, one, two = outcomes(codes, lengths, size)
+            log = model.log10_of(out, one, two, fixed)
+            sums = np.add.reduceat(log, np.cumsum(lengths + 1) - lengths - 1)
+            yield part.drop_columns(["codes"]).append_column("model_sum", pa.array(sums))
+
     scanned = written(
-        texts.mapInArrow(
-            scan,
-            f"doc_id {id_type}, held_out boolean, n_tokens long, head_known long, head_log double, "
-            "outside_log double, outside long, model_sum double, rest array<struct<word:string,tf:long>>",
-        ).withColumn("_row", F.monotonically_increasing_id()),
-        "lm-texts",
+        coded.drop("place", "rest", "n_rest").mapInArrow(scan, kept % "" + ", _row long, model_sum double"), "lm-texts"
     )
-    rest = (
-        scanned.select("_row", F.explode("rest").alias("w")).select("_row", "w.word", "w.tf")
-        .join(vocabulary, "word").groupBy("_row")
-        .agg(F.sum("tf").alias("rest_known"), F.sum(F.col("tf") * F.log10(F.col("n") + 1)).alias("rest_log"))
+    n_rest = coded.agg(F.coalesce(F.sum("n_rest"), F.lit(0))).first()[0]
+    shelves = 1
+    while shelves * SHELF < n_rest + row.v and shelves < BUCKETS and (buckets == 1 or shelves < buckets):
+        shelves *= 2
+    rest_fields = pa.schema([
+        ("shelf", pa.int32()), ("words", pa.binary()), ("bucket", pa.binary()), ("row", pa.binary()),
+        ("held", pa.binary()), ("one", pa.binary()), ("two", pa.binary()),
+    ])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, codes, lengths in _coded(batches):
+            n = part.column("n_rest").to_numpy()
+            every = b" ".join(x for x in part.column("rest").to_pylist() if x).split()
+            if not every:
+                continue
+            cells = {
+                "row": np.repeat(part.column("_row").to_numpy(), n),
+                "held": np.repeat(part.column("held_out").to_numpy(zero_copy_only=False).astype(np.int8), n),
+            }
+            if buckets > 1:
+                out, one, two = outcomes(codes, lengths, size)
+                at = np.flatnonzero((out >= OTHER) & (out < first_word))
+                number = out[at] - OTHER
+                cells |= {"one": one[at].astype(np.int32), "two": two[at].astype(np.int32)}
+            else:
+                number = np.fromiter(map(crc32, every), np.int64, len(every)) % shelves
+                cells |= {"one": np.zeros(0, np.int32), "two": np.zeros(0, np.int32)}
+            cells["bucket"] = number.astype(np.int32)
+            shelf = (number % shelves).astype(np.uint16)
+            order = np.argsort(shelf, kind="stable")
+            cells = {k: v[order] if len(v) else v for k, v in cells.items()}
+            cuts = np.append(np.flatnonzero(np.diff(shelf[order].astype(np.int64), prepend=-1)), len(order)).tolist()
+            order = order.tolist()
+            rows = [
+                {"shelf": int(shelf[order[a]]), "words": b" ".join([every[i] for i in order[a:b]])}
+                | {k: v[a:b].tobytes() for k, v in cells.items()}
+                for a, b in zip(cuts, cuts[1:])
+            ]
+            yield pa.RecordBatch.from_pylist(rows, schema=rest_fields)
+
+    def finish(tokens: pa.Table, vocabulary: pa.Table) -> pa.Table:
+        def joined(name, kind):
+            return np.frombuffer(b"".join(tokens.column(name).to_pylist()), kind).astype(np.int64)
+
+        vocabulary = vocabulary.sort_by([("bucket", "ascending"), ("n", "descending"), ("word", "ascending")])
+        place = {w: i for i, w in enumerate(vocabulary.column("word").cast(pa.binary()).to_pylist())}
+        every = b" ".join(tokens.column("words").to_pylist()).split()
+        word = np.fromiter((place.get(w, -1) for w in every), np.int64, len(every))
+        n = vocabulary.column("n").to_numpy()
+        log = np.log10(np.append(n, 0)[word] + 1.0)  # the last for unknown words
+        row, at = np.unique(joined("row", np.int64), return_inverse=True)
+        leaf = log
+        if buckets > 1:
+            cells = {k: joined(k, np.int32) for k in ("bucket", "one", "two")} | {"held": joined("held", np.int8), "word": word}
+            leaf = _in_buckets(
+                known.value[1], {"bucket": vocabulary.column("bucket").to_numpy(), "n": n}, cells, shelves, buckets, least
+            )
+        return pa.Table.from_arrays(
+            [pa.array(row), pa.array(np.bincount(at, word >= 0, len(row)).astype(np.int64)),
+             pa.array(np.bincount(at, log, len(row))), pa.array(np.bincount(at, leaf, len(row)))],
+            ["_row", "rest_known", "rest_log", "leaf"],
+        )
+
+    number = F.col("bucket") % (buckets if buckets > 1 else shelves)
+    shelved = outside.select((number % shelves).cast("int").alias("shelf"), number.alias("bucket"), "word", "n")
+    rest = written(
+        coded.filter("n_rest > 0").select("_row", "held_out", "codes", "rest", "n_rest")
+        .mapInArrow(deal, "shelf int, words binary, bucket binary, row binary, held binary, one binary, two binary")
+        .groupBy("shelf").cogroup(shelved.groupBy("shelf"))
+        .applyInArrow(finish, "_row long, rest_known long, rest_log double, leaf double")
+        .groupBy("_row").agg(*(F.sum(c).alias(c) for c in ("rest_known", "rest_log", "leaf"))),
+        "lm-rest",
     )
     end_log = float(np.log10(ends + 1))
     known_log = F.coalesce("rest_log", F.lit(0.0))
     share = float(np.log10(total + distinct + 1))
     other_share = float(np.log10(other_n + other_v + 1))
-    return scanned.drop("rest").join(rest, "_row", "left").select(
+    return scanned.join(rest, "_row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("head_known") + F.coalesce("rest_known", F.lit(0)) + int(ends > 0)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("head_log") + known_log + end_log - F.col("n_tokens") * share).alias("base_score"),
-        (F.col("model_sum") + F.col("outside_log") + known_log - F.col("outside") * other_share)
+        (F.col("model_sum") + F.col("other_log") + F.coalesce("leaf", F.lit(0.0)) - F.col("other") * other_share)
         .alias("score"),
     )
 
