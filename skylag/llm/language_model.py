@@ -28,7 +28,7 @@ LEAST_DRAWS, MOST_ROUNDS, SHARDS, SHARD_TOKENS = 2_000_000, 16, 4, 200
 # outcomes scored at a time, whose guesses stay in the processor's cache
 SCORED = 1 << 15
 # outcomes whose parameters are merged as one row
-CHUNK = 1 << 13
+CHUNK = 1 << 10
 # the most frequent words, whose counts every task has; all others meet their counts in a join
 HEAD_WORDS = 1 << 16
 # the most words in the tree, and the most buckets, of about BUCKET_WORDS words that are not rare or more
@@ -110,7 +110,7 @@ def _chance(x: np.ndarray) -> np.ndarray:
 
 
 def _sums_by_row(at: np.ndarray, g: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of `n` that `at` names, in order, and for each the sum of its lines of `g`."""
+    """The rows of `n` that `at` names, in order, and for each the sum of its lines of `g`, of an even width."""
     # places of two bytes are sorted by digits
     order = np.argsort(at.astype(np.uint16) if n <= 1 << 16 else at, kind="stable")
     at = at.take(order)
@@ -118,9 +118,10 @@ def _sums_by_row(at: np.ndarray, g: np.ndarray, n: int) -> tuple[np.ndarray, np.
     many = np.diff(first, append=len(at))
     sums, again = g.take(order.take(first), axis=0), many > 1
     if again.any():
-        lines = g.take(order[np.repeat(again, many)], axis=0)
+        # two columns at a time, as one complex number
+        lines = g.view(np.complex64).take(order[np.repeat(again, many)], axis=0)
         many = many[again]
-        sums[again] = np.add.reduceat(lines, np.cumsum(many) - many)
+        sums[again] = np.add.reduceat(lines, np.cumsum(many) - many).view(np.float32)
     return at.take(first), sums
 
 
@@ -183,7 +184,7 @@ class LogBilinear:
     def _move(self, q: str, bias: str | None, at: np.ndarray, g: np.ndarray, rate: float) -> None:
         """Move rows of parameters by the sums of their gradients, less the more they have moved.
 
-        The last column of `g` is that of the bias, if there is one.
+        If there is a bias, its column of `g` follows, and one of zeros.
         """
         rows, g = _sums_by_row(at, g, len(self.p[q]))
         for key, g in ((q, g[:, :WIDTH]), (bias, g[:, WIDTH])) if bias else ((q, g),):
@@ -199,19 +200,20 @@ class LogBilinear:
         The outcomes of a batch are told from NOISE nodes, drawn once for all of them.
         """
         p, n = self.p, len(out)
-        guess = np.hstack((guess, np.ones((n, 1), np.float32)))
+        guess = np.hstack((guess, np.ones((n, 1), np.float32), np.zeros((n, 1), np.float32)))
         to_guess, moves, node = np.zeros((n, WIDTH), np.float32), [], out
         for i, (sums, log_noise) in enumerate(zip(self.sums, self.log_noise)):
             q, bias = p[f"q{i}"], p[f"bias{i}"]
             drawn = np.searchsorted(sums, self.rng.random(NOISE)).clip(0, len(sums) - 1)
-            mine, others = q.take(node, axis=0), np.hstack((q[drawn], (bias[drawn] - log_noise[drawn])[:, None]))
+            mine, others = q.take(node, axis=0), np.zeros((NOISE, WIDTH + 2), np.float32)
+            others[:, :WIDTH], others[:, WIDTH] = q[drawn], bias[drawn] - log_noise[drawn]
             hit = _chance(log_noise.take(node) - bias.take(node) - np.einsum("ij,ij->i", mine, guess[:, :WIDTH]))
             hit -= 1
             miss = _chance(guess @ -others.T)
             mine *= hit[:, None]
             to_guess += mine
             to_guess += miss @ others[:, :WIDTH]
-            g = np.empty((n + NOISE, WIDTH + 1), np.float32)
+            g = np.empty((n + NOISE, WIDTH + 2), np.float32)
             np.multiply(guess, hit[:, None], out=g[:n])
             np.matmul(miss.T, guess, out=g[n:])
             moves.append((f"q{i}", f"bias{i}", np.concatenate((node, drawn)), g))
