@@ -205,7 +205,7 @@ BOARD_COLUMNS = ", ".join(schemas.BOARD_ROW.fieldNames())
 
 @query("board_json_flatten", f"WITH {sv.BOARD} SELECT * FROM board")
 def board_json_flatten(spark, sf):
-    return feeds.board_rows(views.boards(spark, sf))
+    return feeds.board_rows(views.boards(spark, sf, dealt=False))
 
 
 @query("csv_sink", f"WITH {sv.BOARD} SELECT {BOARD_COLUMNS} FROM board")

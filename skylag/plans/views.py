@@ -311,11 +311,12 @@ def event_log_lines(events_view: DataFrame) -> DataFrame:
     )
 
 
-def boards(spark, sf_dir) -> DataFrame:
+def boards(spark, sf_dir, dealt: bool = True) -> DataFrame:
     """One airport board per order, with one arrival and one departure; some levels missing."""
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey").withColumn(
-        "at", F.unix_timestamp(F.col("o_orderdate").cast("timestamp"))
-    )
+    orders = table(spark, sf_dir, "orders")
+    if dealt:
+        orders = spread(orders, "o_orderkey", "o_custkey")
+    orders = orders.withColumn("at", F.unix_timestamp(F.col("o_orderdate").cast("timestamp")))
     key = F.col("o_orderkey").cast("string")
     urgent = F.col("o_orderpriority") == "1-URGENT"
     open_order = F.col("o_orderstatus") == "O"
